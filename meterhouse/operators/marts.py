@@ -65,7 +65,7 @@ def plan_utilisation(events: DataFrame, plan_history: DataFrame) -> DataFrame:
         F.count("*").alias("active_users"),
         F.sum("tokens").alias("tokens_used"),
         F.sum("daily_limit").alias("token_capacity"),
-        F.round(F.lit(100.0) * F.sum("tokens") / F.sum("daily_limit"), 2).alias(
+        F.round(F.lit(100.0) * F.sum("tokens") / F.sum("daily_limit"), 4).alias(
             "utilisation_pct"
         ),
     )
@@ -92,7 +92,7 @@ def budget_burndown(
         "remaining_budget",
         "spent",
         "spent_so_far",
-        F.round(F.lit(100.0) * F.col("remaining_budget") / F.col("token_budget"), 2).alias(
+        F.round(F.lit(100.0) * F.col("remaining_budget") / F.col("token_budget"), 4).alias(
             "share_left_pct"
         ),
     )

@@ -10,7 +10,12 @@ from meterhouse.plans import registry
 
 
 def _load() -> None:
-    from meterhouse.plans import queries_events, queries_history  # noqa: F401
+    from meterhouse.plans import (  # noqa: F401
+        queries_dims,
+        queries_events,
+        queries_history,
+        queries_quota,
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

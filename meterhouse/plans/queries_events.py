@@ -532,7 +532,7 @@ def _(t: Tables) -> DataFrame:
         """select plan_id, usage_day, count(*) as active_users,
              cast(sum(tokens) as bigint) as tokens_used,
              cast(sum(daily_limit) as bigint) as token_capacity,
-             round(100.0::double * sum(tokens) / sum(daily_limit), 2) as utilisation_pct
+             round(100.0::double * sum(tokens) / sum(daily_limit), 4) as utilisation_pct
            from (
              select q.plan_id, date_trunc('day', q.time_stamp) as usage_day, q.user_id,
                sum(q.tokens_used) as tokens, arg_max(h.daily_token_limit, q.time_stamp)

@@ -398,7 +398,7 @@ def _(t: Tables) -> DataFrame:
         """select user_id, start_ms as __START_AT, remaining_budget, spent,
              cast(sum(spent) over (partition by user_id order by start_ms) as bigint)
                as spent_so_far,
-             round(100.0::double * remaining_budget / 600000, 2) as share_left_pct
+             round(100.0::double * remaining_budget / 600000, 4) as share_left_pct
            from (select *, cast(greatest(coalesce(lag(remaining_budget) over
                      (partition by user_id order by start_ms) - remaining_budget, 0), 0) as int)
                      as spent from log_history) a""",
