@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhouse.operators.gate import WINDOWS, init_usage
-from meterhouse.operators.quality import QUERY_LOG_CONSTRAINTS, fill_defaults
+from meterhouse.operators.quality import PLAN_CONSTRAINTS, QUERY_LOG_CONSTRAINTS, fill_defaults
 from meterhouse.operators.shape import with_missing_as_null
 from meterhouse.operators.skew import hot_keys, neighbour, number_rows, with_slice
+from meterhouse.session import write_and_read
 
+MOVES_PER_FOLD = 10_000
 LIMITS = [f"{w}_token_limit" for w in WINDOWS]
 
 # Status texts of a plan update.
@@ -39,8 +41,6 @@ def _with_new_ids(accepted: DataFrame, table: DataFrame, key: str) -> DataFrame:
 
 def create_plans(plans: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New plans (``plan_name`` and the limits); names are unique and NULL limits take defaults."""
-    from meterhouse.operators.quality import PLAN_CONSTRAINTS
-
     defaults = {c: PLAN_CONSTRAINTS.defaults[c] for c in LIMITS}
     commands = fill_defaults(commands, defaults)
     positive = F.lit(True)
@@ -138,41 +138,37 @@ def migrate_users(
 ) -> tuple[DataFrame, DataFrame]:
     """Moves active users from ``old_plan`` to ``new_plan``, commands in order.
 
-    The route of each plan through the commands is followed on the distinct plan ids, a step per
-    pass, and joined to the users once at the end.
+    Only the distinct plan ids are sent through the commands, and the users joined to where their
+    plan ends up. Commands are folded ``MOVES_PER_FOLD`` at a time.
     """
     targets = plans.select(F.col("plan_id").alias("new_plan"))
     legal = commands.join(targets, "new_plan", "left_semi").select("cmd_seq", "old_plan", "new_plan")
     rejected = commands.join(targets, "new_plan", "left_anti")
-    route = (
-        users.select("plan_id").distinct().select(
-            "plan_id", F.col("plan_id").alias("_at"), F.lit(None).cast("bigint").alias("_since")
-        )
+    moves = number_rows(legal, ["cmd_seq"], "_no").withColumn(
+        "_fold", F.floor((F.col("_no") - 1) / MOVES_PER_FOLD)
     )
-    while True:
-        step = (
-            route.join(legal, F.col("_at") == F.col("old_plan"))
-            .where(F.col("_since").isNull() | (F.col("cmd_seq") > F.col("_since")))
-            .groupBy("plan_id")
-            .agg(F.min_by(F.struct("new_plan", "cmd_seq"), "cmd_seq").alias("_move"))
-        )
-        moved = [
-            (r["plan_id"], r["_move"]["new_plan"], r["_move"]["cmd_seq"]) for r in step.collect()
-        ]
-        if not moved:
-            break
-        # one row per plan id in use
-        hops = users.sparkSession.createDataFrame(
-            moved, "plan_id int, _to int, _seq bigint"
+    folded = moves.groupBy("_fold").agg(
+        F.array_sort(F.collect_list(F.struct("cmd_seq", "old_plan", "new_plan"))).alias("_moves")
+    )
+    last_fold = moves.agg(F.max("_fold")).first()[0]
+    route = users.select("plan_id").distinct().withColumn("_to", F.col("plan_id"))
+    for fold in range(0 if last_fold is None else last_fold + 1):
+        step = F.aggregate(
+            "_moves",
+            F.col("_to"),
+            lambda at, m: F.when(m["old_plan"] == at, m["new_plan"]).otherwise(at),
         )
-        route = route.join(hops, "plan_id", "left").select(
-            "plan_id",
-            F.coalesce("_to", "_at").alias("_at"),
-            F.coalesce("_seq", "_since").alias("_since"),
+        # one row of moves for every plan id in use
+        route = (
+            route.withColumn("_fold", F.lit(fold).cast("bigint"))
+            .join(folded, "_fold")
+            .select("plan_id", step.alias("_to"))
         )
-    table = users.join(route.select("plan_id", "_at"), "plan_id", "left").select(
+        if fold:
+            route = write_and_read(route, "plan-routes")
+    table = users.join(route, "plan_id", "left").select(
         *[
-            F.when(F.col("is_active"), F.coalesce("_at", "plan_id")).otherwise(F.col("plan_id")).alias(c)
+            F.when(F.col("is_active"), F.col("_to")).otherwise(F.col("plan_id")).alias(c)
             if c == "plan_id"
             else F.col(c)
             for c in users.columns

@@ -263,7 +263,7 @@ LIMIT_FIELDS = [*[f"{w}_token_limit" for w in WINDOWS], "token_budget", "usable"
 
 
 def _scan_piece(mode: str):
-    def scan(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def scan(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["ts_us", "request_seq"], kind="stable")
         head = pdf.iloc[0]
         first = int(head["ts_us"])

@@ -15,6 +15,7 @@ def _load() -> None:
         queries_events,
         queries_history,
         queries_quota,
+        queries_streams,
     )
 
 

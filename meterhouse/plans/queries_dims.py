@@ -185,19 +185,19 @@ def _(t: Tables) -> DataFrame:
     using(
         ["users"],
         """select user_id, user_name,
-             cast(case when is_active then r.at else u.plan_id end as int) as plan_id,
+             cast(case when is_active then r.place else u.plan_id end as int) as plan_id,
              token_budget, remaining_budget, is_active
            from users u join (
-             select start, at from walk where since = (select max(cmd_seq) from moves)) r
-             on r.start = u.plan_id""",
+             select origin, place from walk where since = (select max(cmd_seq) from moves)) r
+             on r.origin = u.plan_id""",
         recursive="""
           moves as (select n_nationkey as cmd_seq, n_regionkey as old_plan,
                       cast((n_nationkey * 3 + 1) % 6 as int) as new_plan from nation),
-          walk(start, at, since) as (
+          walk(origin, place, since) as (
             select r_regionkey, r_regionkey, -1 from region
             union all
-            select w.start, case when m.old_plan = w.at and m.new_plan <= 4 then m.new_plan
-                                 else w.at end, m.cmd_seq
+            select w.origin, case when m.old_plan = w.place and m.new_plan <= 4 then m.new_plan
+                                  else w.place end, m.cmd_seq
             from walk w join moves m on m.cmd_seq = w.since + 1)""",
     ),
 )
