@@ -1,14 +1,17 @@
 """Gate replay: refresh, admit and record every user's requests in event order.
 
-Each decision depends on the one before it through three anchored counters and a budget, so the
-requests of one user form a chain; users are independent. Users with a bounded history are folded
-inside the JVM, one array per user. Longer histories are cut into ordered pieces of bounded size
-and carried from piece to piece as state, so no task ever holds a whole user.
+Each decision depends on the one before it through three anchored counters and a budget, which no
+window expression can carry; the requests of one user form a chain, users are independent. Spark
+brings each user's requests together in order, and a scan walks over them holding one user's seven
+numbers. A user with more requests than one task should own is cut into ordered pieces, balanced by
+row count, and the numbers are carried from piece to piece.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,169 +20,138 @@ from meterhouse.operators import gate
 from meterhouse.operators.gate import WINDOWS
 from meterhouse.session import write_and_read
 
-FOLD_ROWS = 4_096  # requests of one user folded as one array
-PIECE_ROWS = 500_000  # requests of one piece of a longer history
-
-OUTCOME = [
-    "request_seq",
-    "ts",
-    "tokens",
-    "validate_msg",
-    "record_msg",
-    "charged",
-    "hourly_token",
-    "daily_token",
-    "monthly_token",
-    "remaining_budget",
-]
+LONG_ROWS = 5_000_000  # requests of one user, above which they are cut into pieces
+TASK_ROWS = 5_000_000  # requests one task scans on a large input
+SMALL_TASK_ROWS = 10_000  # below this a task costs more to start than to run
+
 STATE = [*[f"{w}_token" for w in WINDOWS], *[f"{w}_start" for w in WINDOWS], "remaining_budget"]
+LIMITS = [*[f"{w}_token_limit" for w in WINDOWS], "token_budget", "usable"]
+START = [f"from_{c}" for c in STATE]  # the state a scan begins with
+REQUEST = ["user_id", "ts_us", "request_seq", "tokens", "allow_budget"]
 
-PIECE_SCHEMA = (
+LINE_SCHEMA = (
     "user_id int, request_seq bigint, ts_us bigint, tokens bigint, validate_msg string, "
     "record_msg string, charged bigint, hourly_token bigint, daily_token bigint, "
-    "monthly_token bigint, remaining_budget bigint, hourly_start bigint, daily_start bigint, "
-    "monthly_start bigint"
+    "monthly_token bigint, hourly_start bigint, daily_start bigint, monthly_start bigint, "
+    "remaining_budget bigint"
 )
-
-
-def _let(value: Column, body) -> Column:
-    """Binds ``value`` to a name inside an expression, so that it is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _step(mode: str, limits: Column):
-    """The fold function: (state, request) -> state, with the outcome appended to ``out``."""
-
-    def refreshed(acc: Column, r: Column) -> Column:
-        fields = []
-        for w, hours in WINDOWS.items():
-            expired = r["ts_us"] - acc[f"{w}_start"] >= F.lit(hours * MICROS_PER_HOUR)
-            fields.append(F.when(expired, F.lit(0).cast("bigint")).otherwise(acc[f"{w}_token"]).alias(f"{w}_token"))
-            fields.append(F.when(expired, r["ts_us"]).otherwise(acc[f"{w}_start"]).alias(f"{w}_start"))
-        return F.struct(*fields)
-
-    def decided(acc: Column, r: Column, s: Column) -> Column:
-        beyond = {
-            w: gate.overflow(s[f"{w}_token"], r["tokens"], limits[f"{w}_token_limit"])
-            for w in WINDOWS
-        }
-        need = F.greatest(*beyond.values())
-        message = gate.validate_message(
-            {w: s[f"{w}_token"] for w in WINDOWS},
-            {w: limits[f"{w}_token_limit"] for w in WINDOWS},
-            r["allow_budget"],
-            F.when(limits["usable"], acc["remaining_budget"]),
-            limits["token_budget"],
-        )
-        return F.struct(
-            message.alias("validate_msg"),
-            gate.record_message(need, r["allow_budget"], acc["remaining_budget"]).alias("record"),
-            need.alias("need"),
-            *[c.alias(f"over_{w}") for w, c in beyond.items()],
-        )
-
-    def settled(acc: Column, r: Column, s: Column, d: Column) -> Column:
-        passed = d["validate_msg"].isin(gate.PASSED)
-        return F.struct(
-            passed.alias("passed"),
-            (passed & d["record"].isin(gate.CHARGED)).alias("charged"),
-            s.alias("s"),
-            d.alias("d"),
-        )
-
-    def advance(acc: Column, r: Column, x: Column) -> Column:
-        s, d, charged = x["s"], x["d"], x["charged"]
-        forget = ~x["passed"] if mode == "api" else F.lit(False)
-        counters, starts = {}, {}
-        for w in WINDOWS:
-            grown = s[f"{w}_token"] + r["tokens"] - d[f"over_{w}"]
-            counters[w] = F.when(charged, grown).otherwise(s[f"{w}_token"])
-            starts[w] = s[f"{w}_start"]
-            if mode == "api":
-                counters[w] = F.when(forget, acc[f"{w}_token"]).otherwise(counters[w])
-                starts[w] = F.when(forget, acc[f"{w}_start"]).otherwise(starts[w])
-        fee = F.when(charged, d["need"]).otherwise(F.lit(0).cast("bigint"))
-        return F.struct(
-            *[counters[w].alias(f"{w}_token") for w in WINDOWS],
-            *[starts[w].alias(f"{w}_start") for w in WINDOWS],
-            (acc["remaining_budget"] - fee).alias("remaining_budget"),
-            d["validate_msg"].alias("validate_msg"),
-            F.when(x["passed"], d["record"]).alias("record_msg"),
-            fee.alias("fee"),
-        )
-
-    def appended(acc: Column, r: Column, n: Column) -> Column:
-        line = F.struct(
-            r["request_seq"].alias("request_seq"),
-            r["ts_us"].alias("ts_us"),
-            r["tokens"].alias("tokens"),
-            n["validate_msg"].alias("validate_msg"),
-            n["record_msg"].alias("record_msg"),
-            n["fee"].alias("charged"),
-            *[n[f"{w}_token"].alias(f"{w}_token") for w in WINDOWS],
-            n["remaining_budget"].alias("remaining_budget"),
-        )
-        return F.struct(
-            *[n[c].alias(c) for c in STATE], F.concat(acc["out"], F.array(line)).alias("out")
-        )
-
-    def step(acc: Column, r: Column) -> Column:
-        return _let(
-            refreshed(acc, r),
-            lambda s: _let(
-                decided(acc, r, s),
-                lambda d: _let(
-                    settled(acc, r, s, d),
-                    lambda x: _let(advance(acc, r, x), lambda n: appended(acc, r, n)),
-                ),
-            ),
-        )
-
-    return step
-
-
-LINE_TYPE = (
-    "array<struct<request_seq: bigint, ts_us: bigint, tokens: bigint, validate_msg: string, "
-    "record_msg: string, charged: bigint, hourly_token: bigint, daily_token: bigint, "
-    "monthly_token: bigint, remaining_budget: bigint>>"
+LINE_ARROW = pa.schema(
+    [
+        (name, {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[kind])
+        for name, kind in (part.split() for part in LINE_SCHEMA.split(", "))
+    ]
 )
+_NAMES = tuple(w.upper() for w in WINDOWS)
+_LENGTHS = tuple(hours * MICROS_PER_HOUR for hours in WINDOWS.values())
+
+
+class Meter:
+    """Counters, window starts and budget of one user."""
+
+    __slots__ = ("counts", "starts", "budget", "limits", "floor", "usable")
+
+    def __init__(self, state: list, limits: list):
+        self.counts, self.starts, self.budget = list(state[:3]), list(state[3:6]), state[6]
+        self.limits, total, self.usable = limits[:3], limits[3], limits[4]
+        self.floor = total * gate.BUDGET_FLOOR_PERCENT
+
+    def state(self) -> tuple:
+        return (*self.counts, *self.starts, self.budget)
+
+    def step(self, ts_us: int, tokens: int, allow: bool, forget: bool) -> tuple:
+        """One request: (validate_msg, record_msg, charged). ``forget`` undoes a blocked refresh."""
+        counts, starts, limits = self.counts, self.starts, self.limits
+        kept = (counts[:], starts[:]) if forget else None
+        hit, need, over = [], 0, [0, 0, 0]
+        for i in range(3):
+            if ts_us - starts[i] >= _LENGTHS[i]:
+                counts[i], starts[i] = 0, ts_us
+            if counts[i] >= limits[i]:
+                hit.append(_NAMES[i])
+            beyond = counts[i] + tokens - limits[i]
+            if beyond > 0:
+                over[i] = beyond
+                need = max(need, beyond)
+        admitted = gate.ALLOWED
+        if hit:
+            if allow and self.usable and self.budget * 100 >= self.floor:
+                admitted = gate.ALLOWED_USING_BUDGET
+            else:
+                if forget:
+                    self.counts, self.starts = kept
+                reason = gate.NO_BUDGET_SUFFIX if allow else gate.LIMIT_EXCEEDED
+                return " ".join(hit) + reason, None, 0
+        if need and not allow:
+            return admitted, gate.PLAN_LIMIT_EXCEEDED, 0
+        if need and self.budget <= need:
+            exact = self.budget == need
+            return admitted, gate.CHECK_VIOLATION if exact else gate.INSUFFICIENT_BUDGET, 0
+        for i in range(3):
+            counts[i] += tokens - over[i]
+        self.budget -= need
+        return admitted, gate.SUCCESS_USING_OVERFLOW if need else gate.SUCCESS, need
+
+
+def new_meter(first_us: int, start: list, limits: list) -> Meter:
+    """A meter at the given state; windows without a start begin with the first request."""
+    return Meter([*start[:3], *[first_us if s is None else s for s in start[3:6]], start[6]], limits)
+
+
+def scan(mode: str):
+    """Walks over batches sorted by user and time; holds one meter and one batch at a time."""
+    forget = mode == "api"
+    columns = [*REQUEST, *LIMITS, *START]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, meter = None, None
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*[batch.column(c).to_pylist() for c in columns]):
+                user, ts_us, seq, tokens, allow = row[:5]
+                if meter is None or user != current:
+                    current, meter = user, new_meter(ts_us, row[10:], row[5:10])
+                decision = meter.step(ts_us, tokens, allow, forget)
+                out.append((user, seq, ts_us, tokens, *decision, *meter.state()))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*out), LINE_ARROW)], schema=LINE_ARROW
+                )
+
+    return run
+
+
+def start_state() -> list[Column]:
+    """Given counters where there are some, else zero from the first request on."""
+    counts = [F.coalesce(f"{w}_token", F.lit(0)).cast("bigint") for w in WINDOWS]
+    starts = [F.unix_micros(f"{w}_session_start") for w in WINDOWS]
+    values = [*counts, *starts, F.col("remaining_budget")]
+    return [value.alias(name) for value, name in zip(values, START)]
 
 
-def _start_state(first_us: Column) -> list[Column]:
-    """Given counters where there are some, else zero from the first request on."""
-    cols = []
-    for w in WINDOWS:
-        cols.append(F.coalesce(F.col(f"{w}_token"), F.lit(0)).cast("bigint").alias(f"{w}_token"))
-    for w in WINDOWS:
-        start = F.unix_micros(F.col(f"{w}_session_start"))
-        cols.append(F.coalesce(start, first_us).alias(f"{w}_start"))
-    cols.append(F.col("remaining_budget").cast("bigint").alias("remaining_budget"))
-    return cols
-
-
-def user_limits(users: DataFrame, plans: DataFrame, usage: DataFrame | None = None) -> DataFrame:
-    """Per user: limits, budget, whether the budget may be used, and counters if given."""
-    limits = (
-        users.join(plans.select("plan_id", *[f"{w}_token_limit" for w in WINDOWS]), "plan_id")
-        .select(
-            "user_id",
-            "plan_id",
-            *[F.col(f"{w}_token_limit").cast("bigint").alias(f"{w}_token_limit") for w in WINDOWS],
-            F.col("token_budget").cast("bigint").alias("token_budget"),
-            F.col("remaining_budget").cast("bigint").alias("remaining_budget"),
-            F.col("is_active").alias("usable"),
-        )
+def user_limits(
+    users: DataFrame, plans: DataFrame, usage: DataFrame | None = None, honour_active: bool = True
+) -> DataFrame:
+    """Per user: plan, limits, budget, whether the budget may be used, and the start state."""
+    limits = [F.col(f"{w}_token_limit").cast("bigint").alias(f"{w}_token_limit") for w in WINDOWS]
+    rows = users.join(plans.select("plan_id", *limits), "plan_id").withColumns(
+        {
+            "token_budget": F.col("token_budget").cast("bigint"),
+            "remaining_budget": F.col("remaining_budget").cast("bigint"),
+            "usable": F.col("is_active") if honour_active else F.lit(True),
+        }
     )
     if usage is None:
-        empty = {}
-        for w in WINDOWS:
-            empty[f"{w}_token"] = F.lit(None).cast("bigint")
-            empty[f"{w}_session_start"] = F.lit(None).cast("timestamp")
-        return limits.withColumns(empty)
-    return limits.join(usage, "user_id", "left")
+        rows = rows.withColumns(
+            {f"{w}_token": F.lit(None).cast("int") for w in WINDOWS}
+            | {f"{w}_session_start": F.lit(None).cast("timestamp") for w in WINDOWS}
+        )
+    else:
+        rows = rows.join(usage, "user_id", "left")
+    return rows.select("user_id", "plan_id", *LIMITS, *start_state())
 
 
-def _compact(requests: DataFrame) -> DataFrame:
+def compact(requests: DataFrame) -> DataFrame:
+    """The five request columns the gate needs."""
     return requests.select(
         "user_id",
         F.unix_micros("ts").alias("ts_us"),
@@ -189,95 +161,25 @@ def _compact(requests: DataFrame) -> DataFrame:
     )
 
 
-def _fold(requests: DataFrame, limits: DataFrame, mode: str) -> DataFrame:
-    """Users with at most ``FOLD_ROWS`` requests: one sorted array and one fold per user."""
-    fields = ["ts_us", "request_seq", "tokens", "allow_budget"]
-    histories = (
-        requests.groupBy("user_id")
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_requests"))
-        .join(limits, "user_id")
-    )
-    first = F.get(F.col("_requests"), F.lit(0))["ts_us"]
-    start = F.struct(*_start_state(first), F.array().cast(LINE_TYPE).alias("out"))
-    bounds = F.struct(*[f"{w}_token_limit" for w in WINDOWS], "token_budget", "usable")
-    folded = F.aggregate(
-        F.col("_requests"), F.col("_start"), _step(mode, F.col("_bounds")), lambda acc: acc["out"]
-    )
+def _tasks(df: DataFrame, rows: int) -> int:
+    small = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SMALL_TASK_ROWS))
+    return max(1, small, -(-rows // TASK_ROWS))
+
+
+def _scan_users(requests: DataFrame, state: DataFrame, mode: str, tasks: int) -> DataFrame:
+    """One shuffle of the bare requests by user; the state joins on the same partitioning."""
     return (
-        histories.select(
-            "user_id", "plan_id", "_requests", start.alias("_start"), bounds.alias("_bounds")
-        )
-        .select("user_id", "plan_id", folded.alias("_lines"))
-        .select("user_id", "plan_id", F.inline("_lines"))
+        requests.repartition(tasks, "user_id")
+        .join(state, "user_id")
+        .sortWithinPartitions("user_id", "ts_us", "request_seq")
+        .mapInArrow(scan(mode), LINE_SCHEMA)
     )
 
 
-def gate_step(state: dict, limits: dict, ts_us: int, tokens: int, allow: bool, mode: str) -> tuple:
-    """One request against one user's state, in place: (validate_msg, record_msg, charged)."""
-    before = dict(state)
-    hit = []
-    for w, hours in WINDOWS.items():
-        if ts_us - state[f"{w}_start"] >= hours * MICROS_PER_HOUR:
-            state[f"{w}_token"], state[f"{w}_start"] = 0, ts_us
-        if state[f"{w}_token"] >= limits[f"{w}_token_limit"]:
-            hit.append(w.upper())
-    budget = state["remaining_budget"]
-    admitted = gate.ALLOWED
-    if hit:
-        enough = budget * 100 >= limits["token_budget"] * gate.BUDGET_FLOOR_PERCENT
-        if allow and limits["usable"] and enough:
-            admitted = gate.ALLOWED_USING_BUDGET
-        else:
-            if mode == "api":
-                state.update(before)
-            suffix = gate.NO_BUDGET_SUFFIX if allow else gate.LIMIT_EXCEEDED
-            return " ".join(hit) + suffix, None, 0
-    over = {
-        w: max(0, state[f"{w}_token"] + tokens - limits[f"{w}_token_limit"]) for w in WINDOWS
-    }
-    need = max(over.values())
-    if need and not allow:
-        return admitted, gate.PLAN_LIMIT_EXCEEDED, 0
-    if need and budget <= need:
-        refused = gate.CHECK_VIOLATION if budget == need else gate.INSUFFICIENT_BUDGET
-        return admitted, refused, 0
-    for w in WINDOWS:
-        state[f"{w}_token"] += tokens - over[w]
-    state["remaining_budget"] = budget - need
-    return admitted, gate.SUCCESS_USING_OVERFLOW if need else gate.SUCCESS, need
-
-
-def scan_requests(rows: pd.DataFrame, state: dict, limits: dict, mode: str) -> pd.DataFrame:
-    """Runs ordered requests of one user through the gate; ``state`` ends as the state after them."""
-    lines = []
-    for seq, ts_us, tokens, allow in zip(
-        rows["request_seq"], rows["ts_us"], rows["tokens"], rows["allow_budget"]
-    ):
-        outcome = gate_step(state, limits, int(ts_us), int(tokens), bool(allow), mode)
-        lines.append((seq, ts_us, tokens, *outcome, *[state[c] for c in STATE]))
-    names = ["request_seq", "ts_us", "tokens", "validate_msg", "record_msg", "charged", *STATE]
-    return pd.DataFrame(lines, columns=names)
-
-
-LIMIT_FIELDS = [*[f"{w}_token_limit" for w in WINDOWS], "token_budget", "usable"]
-
-
-def _scan_piece(mode: str):
-    def scan(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts_us", "request_seq"], kind="stable")
-        head = pdf.iloc[0]
-        first = int(head["ts_us"])
-        state = {c: int(head[c]) if pd.notna(head[c]) else first for c in STATE}
-        limits = {c: head[c] for c in LIMIT_FIELDS}
-        out = scan_requests(pdf, state, limits, mode)
-        out.insert(0, "user_id", key[0])
-        return out
-
-    return scan
-
-
-def _carry(requests: DataFrame, limits: DataFrame, mode: str, rows: int, piece_rows: int) -> DataFrame:
-    """Long histories: range-partitioned pieces, replayed round by round with the state carried.
+def _scan_pieces(
+    requests: DataFrame, state: DataFrame, mode: str, rows: int, piece_rows: int
+) -> DataFrame:
+    """Long histories: ordered pieces, replayed round by round with the state carried.
 
     Range partitioning on (user, time) balances the pieces by row count, whoever owns the rows.
     Round ``r`` runs piece ``r`` of every long user at once. The cut is written down first, since a
@@ -288,44 +190,35 @@ def _carry(requests: DataFrame, limits: DataFrame, mode: str, rows: int, piece_r
         requests.repartitionByRange(n, "user_id", "ts_us", "request_seq").withColumn(
             "_part", F.spark_partition_id()
         ),
-        "replay-pieces",
+        "replay-cut",
     )
-    # at most n + (long users) rows
     place = Window.partitionBy("user_id").orderBy("_part")
+    # one row per user and partition the user reaches into
     pieces = (
         cut.select("user_id", "_part").distinct().withColumn("_piece", F.row_number().over(place))
     )
-    cut = write_and_read(
-        cut.join(pieces, ["user_id", "_part"]).drop("_part"), "replay-rounds"
-    )
-    rounds = cut.agg(F.max("_piece")).first()[0]
-
-    state = limits.select(
-        "user_id", *LIMIT_FIELDS, *_start_state(F.lit(None).cast("bigint"))
-    ).join(cut.select("user_id").distinct(), "user_id", "left_semi")
-    done = []
-    for r in range(1, rounds + 1):
-        work = cut.where(F.col("_piece") == r).join(state, "user_id")
+    placed = cut.join(pieces, ["user_id", "_part"]).drop("_part")
+    path = write_and_read(placed, "replay-pieces")
+    per_round = path.groupBy("_piece").agg(F.count("*").alias("n")).orderBy("_piece").collect()
+
+    state = state.join(pieces.select("user_id").distinct(), "user_id", "left_semi")
+    done: DataFrame | None = None
+    for r, size in per_round:
+        work = path.where(F.col("_piece") == r).drop("_piece")
         out = write_and_read(
-            work.groupBy("user_id", "_piece").applyInPandas(_scan_piece(mode), PIECE_SCHEMA),
-            "replay-outcomes",
-        )
-        done.append(out)
-        if r == rounds:
-            break
-        last = out.groupBy("user_id").agg(
-            F.max_by(F.struct(*STATE), F.struct("ts_us", "request_seq")).alias("_s")
-        )
-        state = write_and_read(
-            state.select("user_id", *LIMIT_FIELDS)
-            .join(last, "user_id")
-            .select("user_id", *LIMIT_FIELDS, "_s.*"),
-            "replay-state",
+            _scan_users(work, state, mode, _tasks(work, size)), f"replay-round-{r}"
         )
-    merged = done[0]
-    for part in done[1:]:
-        merged = merged.unionByName(part)
-    return merged.join(limits.select("user_id", "plan_id"), "user_id")
+        done = out if done is None else done.unionByName(out)
+        if r < len(per_round):
+            last = out.groupBy("user_id").agg(
+                F.max_by(F.struct(*STATE), F.struct("ts_us", "request_seq")).alias("_s")
+            )
+            carried = [F.col("_s")[c].alias(name) for c, name in zip(STATE, START)]
+            state = write_and_read(
+                state.select("user_id", *LIMITS).join(last, "user_id").select("user_id", *LIMITS, *carried),
+                f"replay-state-{r}",
+            )
+    return done
 
 
 def replay_gate(
@@ -335,8 +228,8 @@ def replay_gate(
     usage: DataFrame | None = None,
     mode: str = "procedure",
     honour_active: bool = True,
-    fold_rows: int = FOLD_ROWS,
-    piece_rows: int = PIECE_ROWS,
+    long_rows: int = LONG_ROWS,
+    piece_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """One outcome row per request of every known user.
 
@@ -345,21 +238,27 @@ def replay_gate(
     kept; ``api`` mode forgets the refresh of a request that admission refuses, as a caller that
     rolls back would. ``honour_active`` denies inactive users the use of their budget.
     """
-    limits = user_limits(users, plans, usage)
-    if not honour_active:
-        limits = limits.withColumn("usable", F.lit(True))
-    rows = _compact(requests)
-    sizes = rows.groupBy("user_id").agg(F.count("*").alias("_n")).where(F.col("_n") > fold_rows)
-    # a user counted here holds over fold_rows requests, so the list shrinks as it is needed less
-    long = sizes.agg(F.count("*").alias("users"), F.sum("_n").alias("rows")).first()
-    if not long["users"]:
-        lines = _fold(rows, limits, mode)
+    limits = user_limits(users, plans, usage, honour_active)
+    state = limits.drop("plan_id")
+    rows = compact(requests)
+    sizes = rows.groupBy("user_id").agg(F.count("*").alias("_n"))
+    is_long = F.col("_n") > long_rows
+    total = sizes.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(is_long, F.col("_n"))), F.lit(0)).alias("long_rows"),
+    ).first()
+    if not total["long_rows"]:
+        lines = _scan_users(rows, state, mode, _tasks(rows, total["rows"]))
     else:
-        sizes = write_and_read(sizes, "replay-long-users").select("user_id")
-        tail = _carry(rows.join(sizes, "user_id", "left_semi"), limits, mode, long["rows"], piece_rows)
-        short = rows.join(sizes, "user_id", "left_anti")
-        lines = _fold(short, limits, mode).unionByName(tail, allowMissingColumns=True)
-    return lines.select(
+        long = write_and_read(sizes.where(is_long).select("user_id"), "replay-long-users")
+        lines = _scan_pieces(
+            rows.join(long, "user_id", "left_semi"), state, mode, total["long_rows"], piece_rows
+        )
+        rest = total["rows"] - total["long_rows"]
+        if rest:
+            short = rows.join(long, "user_id", "left_anti")
+            lines = lines.unionByName(_scan_users(short, state, mode, _tasks(rows, rest)))
+    return lines.join(limits.select("user_id", "plan_id"), "user_id").select(
         "request_seq",
         "user_id",
         "plan_id",
@@ -403,16 +302,13 @@ def log_rows(outcomes: DataFrame, mode: str = "procedure") -> DataFrame:
 
     bare = row(F.lit("success"), F.col("tokens"), False)
     full = row(F.when(charged, "success").otherwise("failed"), F.col("tokens"), True)
-    blocked = row(F.lit("failed"), F.lit(0), False)
-    rows = F.array_compact(
-        F.array(
-            F.when(charged, bare),
-            F.when(passed, full),
-            F.when(~passed, blocked) if mode == "procedure" else F.lit(None).cast(
-                "struct<query_status: string, tokens_used: bigint, is_full: boolean>"
-            ),
-        )
-    )
+    lines = [F.when(charged, bare), F.when(passed, full)]
+    if mode == "procedure":
+        lines.append(F.when(~passed, row(F.lit("failed"), F.lit(0), False)))
     return outcomes.select(
-        "request_seq", "user_id", "plan_id", F.col("ts").alias("time_stamp"), F.inline(rows)
+        "request_seq",
+        "user_id",
+        "plan_id",
+        F.col("ts").alias("time_stamp"),
+        F.inline(F.array_compact(F.array(*lines))),
     )

@@ -231,7 +231,7 @@ def _(t: Tables) -> DataFrame:
     """The path for long histories, taken here by every user: ordered pieces, state carried on."""
     rows = t.gate_requests().count()
     return replay.replay_gate(
-        t.gate_requests(), t.users(), t.plans(), fold_rows=0, piece_rows=max(1, rows // 4)
+        t.gate_requests(), t.users(), t.plans(), long_rows=0, piece_rows=max(1, rows // 4)
     )
 
 

@@ -9,22 +9,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from meterhouse.operators.gate import WINDOWS
-from meterhouse.operators.replay import LIMIT_FIELDS, STATE, scan_requests
-
-OUTPUT = (
-    "user_id int, request_seq bigint, ts_us bigint, tokens bigint, validate_msg string, "
-    "record_msg string, charged bigint, hourly_token bigint, daily_token bigint, "
-    "monthly_token bigint, remaining_budget bigint"
+from meterhouse.operators.replay import (
+    LIMITS,
+    LINE_SCHEMA,
+    REQUEST,
+    START,
+    STATE,
+    Meter,
+    compact,
+    new_meter,
 )
+
 STATE_SCHEMA = ", ".join(f"{c} bigint" for c in STATE)
+LINE_NAMES = [part.split()[0] for part in LINE_SCHEMA.split(", ")]
 
 
 class UserMeter(StatefulProcessor):
     """Holds seven numbers per user; the requests of a batch run in event order."""
 
     def __init__(self, mode: str):
-        self.mode = mode
+        self.forget = mode == "api"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counters = handle.getValueState("counters", STATE_SCHEMA)
@@ -33,17 +37,18 @@ class UserMeter(StatefulProcessor):
         # one user's share of a rate-limited micro-batch
         pdf = pd.concat(list(rows)).sort_values(["ts_us", "request_seq"], kind="stable")
         head = pdf.iloc[0]
-        limits = {c: head[c] for c in LIMIT_FIELDS}
+        limits = [int(v) for v in head[LIMITS[:-1]]] + [bool(head[LIMITS[-1]])]
         if self.counters.exists():
-            state = dict(zip(STATE, (int(v) for v in self.counters.get())))
+            meter = Meter([int(v) for v in self.counters.get()], limits)
         else:
-            state = {f"{w}_token": 0 for w in WINDOWS}
-            state.update({f"{w}_start": int(head["ts_us"]) for w in WINDOWS})
-            state["remaining_budget"] = int(head["remaining_budget"])
-        out = scan_requests(pdf, state, limits, self.mode)
-        self.counters.update(tuple(state[c] for c in STATE))
-        out.insert(0, "user_id", key[0])
-        yield out[[c.split()[0] for c in OUTPUT.split(", ")]]
+            start = [None if pd.isna(v) else int(v) for v in head[START]]
+            meter = new_meter(int(head["ts_us"]), start, limits)
+        lines = [
+            (key[0], seq, ts_us, tokens, *meter.step(ts_us, tokens, allow, self.forget), *meter.state())
+            for _, ts_us, seq, tokens, allow in zip(*[pdf[c].tolist() for c in REQUEST])
+        ]
+        self.counters.update(meter.state())
+        yield pd.DataFrame(lines, columns=LINE_NAMES)
 
     def close(self) -> None:
         pass
@@ -54,20 +59,15 @@ def meter_stream(requests: DataFrame, limits: DataFrame, mode: str = "procedure"
 
     Equals ``replay_gate`` as long as each batch holds later requests than the ones before it.
     """
-    static = limits.select("user_id", *LIMIT_FIELDS, "remaining_budget")
-    rows = requests.select(
-        "user_id",
-        F.unix_micros("ts").alias("ts_us"),
-        F.col("request_seq").cast("bigint").alias("request_seq"),
-        F.col("tokens").cast("bigint").alias("tokens"),
-        F.coalesce("allow_budget", F.lit(False)).alias("allow_budget"),
-    ).join(static, "user_id")
+    static = limits.drop("plan_id")
     return (
-        rows.groupBy("user_id")
+        compact(requests)
+        .join(static, "user_id")
+        .groupBy("user_id")
         .transformWithStateInPandas(
-            UserMeter(mode), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+            UserMeter(mode), outputStructType=LINE_SCHEMA, outputMode="Append", timeMode="None"
         )
         .withColumn("ts", F.timestamp_micros("ts_us"))
         .withColumn("outcome", F.coalesce("record_msg", "validate_msg"))
-        .drop("ts_us")
+        .drop("ts_us", "hourly_start", "daily_start", "monthly_start")
     )
