@@ -2,26 +2,94 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhouse.operators.history import END, START
+from meterhouse.operators.skew import SLICE, hot_keys, with_slice
+
+BROADCAST_VERSIONS = 10_000  # versions sent to every task, and tried per event at the very worst
 
 
 def as_of_join(
-    events: DataFrame, history: DataFrame, keys: list[str], ts: str, columns: list[str]
+    events: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    ts: str,
+    columns: list[str],
+    broadcast_versions: int = BROADCAST_VERSIONS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Left join of events with the one version valid at ``ts``; NULLs where there is none.
 
-    The equality on the keys is the join key and the interval a residual filter. Spark broadcasts
-    the history while its size estimate allows; beyond that it sort-merges, and adaptive skew
-    handling splits the events of a hot key. Versions of a key never overlap, so no event doubles.
+    A history of few versions is broadcast and the events stay where they are. A longer one is
+    merged with the events in time order, which touches every row once however many versions a key
+    has. Versions of a key never overlap, so no event doubles.
     """
-    lookup = history.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], *columns, START, END
-    )
-    match = F.col(START) <= F.col(ts)
-    match = match & (F.col(END).isNull() | (F.col(ts) < F.col(END)))
+    if history.limit(broadcast_versions + 1).count() <= broadcast_versions:
+        return as_of_broadcast(events, history, keys, ts, columns)
+    return as_of_merge(events, history, keys, ts, columns, hot_rows)
+
+
+def as_of_broadcast(
+    events: DataFrame, history: DataFrame, keys: list[str], ts: str, columns: list[str]
+) -> DataFrame:
+    """Hash join on the keys with the interval as a residual condition; no shuffle of the events."""
+    lookup = history.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *columns, START, END)
+    match = (F.col(START) <= F.col(ts)) & (F.col(END).isNull() | (F.col(ts) < F.col(END)))
     for k in keys:
         match = match & (F.col(k) == F.col(f"_k_{k}"))
-    return events.join(lookup, match, "left").drop(*[f"_k_{k}" for k in keys], START, END)
+    return events.join(F.broadcast(lookup), match, "left").drop(
+        *[f"_k_{k}" for k in keys], START, END
+    )
+
+
+def as_of_merge(
+    events: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    ts: str,
+    columns: list[str],
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Events and versions in one time order per key; each event takes the last version before it.
+
+    Hot keys are cut into slices along the time; a slice without a version of its own takes the last
+    one of the slices before it.
+    """
+    version = F.struct(*columns, END)
+    left = events.select(
+        *keys, F.col(ts).alias("_at"), F.lit(1).alias("_kind"), F.struct(*events.columns).alias("_e")
+    )
+    right = history.select(
+        *keys, F.col(START).alias("_at"), F.lit(0).alias("_kind"), version.alias("_v")
+    )
+    both = left.unionByName(right, allowMissingColumns=True)
+    limit = {} if hot_rows is None else {"min_rows": hot_rows}
+    places = events.select(*keys, F.col(ts).alias("_at")).unionByName(
+        history.select(*keys, F.col(START).alias("_at"))
+    )
+    hot = hot_keys(places, keys, "_at", **limit)
+    both = with_slice(both, keys, "_at", hot)
+
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    part = keys if hot is None else [*keys, SLICE]
+    in_order = Window.partitionBy(*part).orderBy("_at", "_kind").rowsBetween(*upto)
+    found = F.last("_v", ignorenulls=True).over(in_order)
+    merged = both.withColumn("_found", found).where("_kind = 1")
+    if hot is not None:
+        before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        # one row per slice of a hot key
+        lasts = (
+            both.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+            .groupBy(*keys, SLICE)
+            .agg(F.max_by("_v", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
+            .select(*keys, SLICE, F.last("_last", ignorenulls=True).over(before).alias("_earlier"))
+        )
+        merged = merged.join(F.broadcast(lasts), [*keys, SLICE], "left").withColumn(
+            "_found", F.coalesce("_found", "_earlier")
+        )
+    valid = F.col("_found")[END].isNull() | (F.col("_at") < F.col("_found")[END])
+    return merged.select(
+        "_e.*", *[F.when(valid, F.col("_found")[c]).alias(c) for c in columns]
+    )

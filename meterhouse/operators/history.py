@@ -60,7 +60,8 @@ def scd2_from_snapshots(
     tracked = _tracked(snaps, [*keys, version], tracked, track_except)
     carried = [c for c in snaps.columns if c not in keys and c != version]
 
-    # one row per snapshot taken: its place in the sequence and its successor
+    # one row per snapshot taken, so small enough for one task and for a broadcast: its place in
+    # the sequence and its successor
     order = Window.orderBy(version)
     calendar = (
         snaps.select(version)
@@ -74,7 +75,7 @@ def scd2_from_snapshots(
     per_key = Window.partitionBy(*keys).orderBy("_no")
     state = F.struct(*tracked)
     numbered = (
-        snaps.join(calendar, version)
+        snaps.join(F.broadcast(calendar), version)
         .withColumn("_prev_no", F.lag("_no").over(per_key))
         .withColumn("_prev", F.lag(state).over(per_key))
     )
@@ -152,19 +153,21 @@ def scd2_from_changes(
     except_cols: list[str] | None = None,
     collapse_unchanged: bool = False,
     hot_rows: int | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Full history from a change feed, in any arrival order.
 
     Changes of a key that share ``seq`` are ordered by ``tie`` and the last one counts. A delete
     closes the version before it and opens none. One shuffle on the key serves every step; keys with
-    more than ``hot_rows`` changes are cut along ``seq`` (see ``operators.skew``).
+    more than ``hot_rows`` changes are cut along ``seq`` (see ``operators.skew``). ``count_on`` is a
+    cheaper frame with the same keys and ``seq`` to look for such keys in.
     """
     tie = tie if tie is not None else [c for c in ("_part", "_offset") if c in changes.columns]
     except_cols = except_cols if except_cols is not None else ["_op", "_ts_ms", "_part", "_offset"]
     carried = [c for c in changes.columns if c not in keys and c not in except_cols]
 
     limit = {} if hot_rows is None else {"min_rows": hot_rows}
-    hot = hot_keys(changes, keys, seq, **limit)
+    hot = hot_keys(changes if count_on is None else count_on, keys, seq, **limit)
     sliced = with_slice(changes, keys, seq, hot)
 
     nexts = neighbour(sliced, keys, [seq, *tie], F.col(seq), "_next", hot)

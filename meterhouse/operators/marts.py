@@ -72,15 +72,19 @@ def plan_utilisation(events: DataFrame, plan_history: DataFrame) -> DataFrame:
 
 
 def budget_burndown(
-    history: DataFrame, keys: list[str], hot_rows: int | None = None
+    history: DataFrame,
+    keys: list[str],
+    hot_rows: int | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Per user and version: budget left, spent since the version before, spent so far, share left.
 
     ``history`` is SCD2 with ``token_budget`` and ``remaining_budget``. A rise is a top-up and
-    spends nothing.
+    spends nothing. ``count_on`` is a cheaper frame with the same keys and start times to look for
+    hot keys in.
     """
     limit = {} if hot_rows is None else {"min_rows": hot_rows}
-    hot = hot_keys(history, keys, START, **limit)
+    hot = hot_keys(history if count_on is None else count_on, keys, START, **limit)
     rows = with_slice(history, keys, START, hot)
     rows = neighbour(rows, keys, [START], F.col("remaining_budget"), "_prev", hot, back=True)
     drop = F.col("_prev") - F.col("remaining_budget")

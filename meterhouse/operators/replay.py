@@ -25,7 +25,7 @@ TASK_ROWS = 5_000_000  # requests one task scans on a large input
 SMALL_TASK_ROWS = 10_000  # below this a task costs more to start than to run
 
 STATE = [*[f"{w}_token" for w in WINDOWS], *[f"{w}_start" for w in WINDOWS], "remaining_budget"]
-LIMITS = [*[f"{w}_token_limit" for w in WINDOWS], "token_budget", "usable"]
+LIMITS = [*[f"{w}_token_limit" for w in WINDOWS], "token_budget", "usable", "plan_id"]
 START = [f"from_{c}" for c in STATE]  # the state a scan begins with
 REQUEST = ["user_id", "ts_us", "request_seq", "tokens", "allow_budget"]
 
@@ -33,7 +33,7 @@ LINE_SCHEMA = (
     "user_id int, request_seq bigint, ts_us bigint, tokens bigint, validate_msg string, "
     "record_msg string, charged bigint, hourly_token bigint, daily_token bigint, "
     "monthly_token bigint, hourly_start bigint, daily_start bigint, monthly_start bigint, "
-    "remaining_budget bigint"
+    "remaining_budget bigint, plan_id int"
 )
 LINE_ARROW = pa.schema(
     [
@@ -48,11 +48,11 @@ _LENGTHS = tuple(hours * MICROS_PER_HOUR for hours in WINDOWS.values())
 class Meter:
     """Counters, window starts and budget of one user."""
 
-    __slots__ = ("counts", "starts", "budget", "limits", "floor", "usable")
+    __slots__ = ("counts", "starts", "budget", "limits", "floor", "usable", "plan")
 
     def __init__(self, state: list, limits: list):
         self.counts, self.starts, self.budget = list(state[:3]), list(state[3:6]), state[6]
-        self.limits, total, self.usable = limits[:3], limits[3], limits[4]
+        self.limits, total, self.usable, self.plan = limits[:3], *limits[3:]
         self.floor = total * gate.BUDGET_FLOOR_PERCENT
 
     def state(self) -> tuple:
@@ -109,9 +109,9 @@ def scan(mode: str):
             for row in zip(*[batch.column(c).to_pylist() for c in columns]):
                 user, ts_us, seq, tokens, allow = row[:5]
                 if meter is None or user != current:
-                    current, meter = user, new_meter(ts_us, row[10:], row[5:10])
+                    current, meter = user, new_meter(ts_us, row[11:], row[5:11])
                 decision = meter.step(ts_us, tokens, allow, forget)
-                out.append((user, seq, ts_us, tokens, *decision, *meter.state()))
+                out.append((user, seq, ts_us, tokens, *decision, *meter.state(), meter.plan))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*out), LINE_ARROW)], schema=LINE_ARROW
@@ -147,7 +147,7 @@ def user_limits(
         )
     else:
         rows = rows.join(usage, "user_id", "left")
-    return rows.select("user_id", "plan_id", *LIMITS, *start_state())
+    return rows.select("user_id", *LIMITS, *start_state())
 
 
 def compact(requests: DataFrame) -> DataFrame:
@@ -167,10 +167,14 @@ def _tasks(df: DataFrame, rows: int) -> int:
 
 
 def _scan_users(requests: DataFrame, state: DataFrame, mode: str, tasks: int) -> DataFrame:
-    """One shuffle of the bare requests by user; the state joins on the same partitioning."""
+    """One shuffle of the bare requests by user; the state joins on the same partitioning.
+
+    The hint keeps the join on that partitioning, which the scan relies on: a broadcast of either
+    side would not. The state is one row per user, so its share of a partition is small.
+    """
     return (
         requests.repartition(tasks, "user_id")
-        .join(state, "user_id")
+        .join(state.hint("shuffle_hash"), "user_id")
         .sortWithinPartitions("user_id", "ts_us", "request_seq")
         .mapInArrow(scan(mode), LINE_SCHEMA)
     )
@@ -238,8 +242,7 @@ def replay_gate(
     kept; ``api`` mode forgets the refresh of a request that admission refuses, as a caller that
     rolls back would. ``honour_active`` denies inactive users the use of their budget.
     """
-    limits = user_limits(users, plans, usage, honour_active)
-    state = limits.drop("plan_id")
+    state = user_limits(users, plans, usage, honour_active)
     rows = compact(requests)
     sizes = rows.groupBy("user_id").agg(F.count("*").alias("_n"))
     is_long = F.col("_n") > long_rows
@@ -258,7 +261,7 @@ def replay_gate(
         if rest:
             short = rows.join(long, "user_id", "left_anti")
             lines = lines.unionByName(_scan_users(short, state, mode, _tasks(rows, rest)))
-    return lines.join(limits.select("user_id", "plan_id"), "user_id").select(
+    return lines.select(
         "request_seq",
         "user_id",
         "plan_id",

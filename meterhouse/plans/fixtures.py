@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Schemas by path, as a catalog would keep them: footers are read once per session, not per query.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 class Tables:
@@ -14,7 +19,10 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def plans(self) -> DataFrame:
         key = F.col("r_regionkey")

@@ -14,8 +14,21 @@ from meterhouse.plans.registry import query
 START, END = history.START, history.END
 
 
+def flat_changes(t: Tables) -> DataFrame:
+    """``user_changes`` as flattened change rows."""
+    return t.user_changes().select(
+        "user_id",
+        "plan_id",
+        "remaining_budget",
+        F.col("op").alias("_op"),
+        F.unix_millis("changed_at").alias("_ts_ms"),
+        F.col("part").alias("_part"),
+        F.col("offset_").alias("_offset"),
+    )
+
+
 def log_history(t: Tables) -> DataFrame:
-    return history.scd2_from_changes(change_rows(t), ["user_id"])
+    return history.scd2_from_changes(flat_changes(t), ["user_id"])
 
 
 def snapshot_history(t: Tables) -> DataFrame:
@@ -128,6 +141,20 @@ def scd2_changes(t: Tables) -> DataFrame:
     return log_history(t)
 
 
+@query(
+    "cdc5_scd2_from_messages",
+    using(
+        ["log_history"],
+        """select user_id, plan_id, remaining_budget, start_ms as __START_AT, end_ms as __END_AT
+           from log_history""",
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """The same history out of raw messages; hot keys are looked for before they are parsed."""
+    counted = flat_changes(t).select("user_id", "_ts_ms")
+    return history.scd2_from_changes(change_rows(t), ["user_id"], count_on=counted)
+
+
 @query(
     "cdc5_scd2_collapsed",
     using(
@@ -148,7 +175,7 @@ def scd2_changes(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     """Updates that leave the plan as it was open no version."""
-    changes = change_rows(t).drop("remaining_budget")
+    changes = flat_changes(t).drop("remaining_budget")
     return history.scd2_from_changes(changes, ["user_id"], collapse_unchanged=True)
 
 
@@ -163,7 +190,7 @@ def _(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    return history.scd1_from_changes(change_rows(t), ["user_id"])
+    return history.scd1_from_changes(flat_changes(t), ["user_id"])
 
 
 def status_history(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -236,7 +263,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     """The first change of a key counts as its creation, or on odd offsets as an initial read."""
-    changes = change_rows(t)
+    changes = flat_changes(t)
     first = changes.groupBy("user_id").agg(
         F.min(F.struct("_ts_ms", "_offset"))["_offset"].alias("_first")
     )
@@ -406,4 +433,5 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     budgets = log_history(t).withColumn("token_budget", F.lit(600_000))
-    return marts.budget_burndown(budgets, ["user_id"])
+    counted = flat_changes(t).select("user_id", F.col("_ts_ms").alias(START))
+    return marts.budget_burndown(budgets, ["user_id"], count_on=counted)

@@ -20,13 +20,16 @@ SESSION_CONF = {
     ),
 }
 
+# Settings that only a new session can take.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "meterhouse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's defaults; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(SESSION_CONF)
+    settings = {**STATIC_CONF, **SESSION_CONF}
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -37,14 +37,22 @@ class UserMeter(StatefulProcessor):
         # one user's share of a rate-limited micro-batch
         pdf = pd.concat(list(rows)).sort_values(["ts_us", "request_seq"], kind="stable")
         head = pdf.iloc[0]
-        limits = [int(v) for v in head[LIMITS[:-1]]] + [bool(head[LIMITS[-1]])]
+        limits = [int(v) for v in head[LIMITS]]
         if self.counters.exists():
             meter = Meter([int(v) for v in self.counters.get()], limits)
         else:
             start = [None if pd.isna(v) else int(v) for v in head[START]]
             meter = new_meter(int(head["ts_us"]), start, limits)
         lines = [
-            (key[0], seq, ts_us, tokens, *meter.step(ts_us, tokens, allow, self.forget), *meter.state())
+            (
+                key[0],
+                seq,
+                ts_us,
+                tokens,
+                *meter.step(ts_us, tokens, allow, self.forget),
+                *meter.state(),
+                meter.plan,
+            )
             for _, ts_us, seq, tokens, allow in zip(*[pdf[c].tolist() for c in REQUEST])
         ]
         self.counters.update(meter.state())
@@ -59,10 +67,9 @@ def meter_stream(requests: DataFrame, limits: DataFrame, mode: str = "procedure"
 
     Equals ``replay_gate`` as long as each batch holds later requests than the ones before it.
     """
-    static = limits.drop("plan_id")
     return (
         compact(requests)
-        .join(static, "user_id")
+        .join(limits, "user_id")
         .groupBy("user_id")
         .transformWithStateInPandas(
             UserMeter(mode), outputStructType=LINE_SCHEMA, outputMode="Append", timeMode="None"
