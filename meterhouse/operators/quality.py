@@ -32,10 +32,7 @@ def holds(condition: str) -> Column:
 
 
 def _violations(rules: dict[str, str]) -> list[Column]:
-    return [
-        F.coalesce(F.sum(F.when(holds(c), 0).otherwise(1)), F.lit(0)).alias(n)
-        for n, c in rules.items()
-    ]
+    return [F.count(F.when(~holds(c), 1)).alias(n) for n, c in rules.items()]
 
 
 def _observe(df: DataFrame, rules: dict[str, str], observation) -> DataFrame:

@@ -216,7 +216,7 @@ def request_lines(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    known = T._parse_datatype_string(
+    known = T.StructType.fromDDL(
         "log_id bigint, request_id string, endpoint string, response_status_code int"
     )
     landing, bronze = work_folder(t.spark, "lines"), work_folder(t.spark, "rescued")
