@@ -20,10 +20,6 @@ def event_time(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("timestamp")
 
 
-def as_int(name: str) -> Column:
-    return F.col(name).try_cast("int")
-
-
 def whole_hours(start: Column, end: Column) -> Column:
     """Complete hours from ``start`` to ``end``, cut toward zero."""
     micros = F.unix_micros(end) - F.unix_micros(start)

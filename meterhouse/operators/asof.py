@@ -22,12 +22,15 @@ def as_of_join(
 ) -> DataFrame:
     """Left join of events with the one version valid at ``ts``; NULLs where there is none.
 
-    A history of few versions is broadcast and the events stay where they are. A longer one is
-    merged with the events in time order, which touches every row once however many versions a key
-    has. Versions of a key never overlap, so no event doubles.
+    A history of few versions is fetched, which proves its size, and broadcast; the events stay
+    where they are. A longer one is merged with the events in time order, which touches every row
+    once however many versions a key has. Versions of a key never overlap, so no event doubles.
     """
-    if history.limit(broadcast_versions + 1).count() <= broadcast_versions:
-        return as_of_broadcast(events, history, keys, ts, columns)
+    history = history.select(*keys, *columns, START, END)
+    few = history.limit(broadcast_versions + 1).toArrow()
+    if few.num_rows <= broadcast_versions:
+        fetched = events.sparkSession.createDataFrame(few, history.schema)
+        return as_of_broadcast(events, fetched, keys, ts, columns)
     return as_of_merge(events, history, keys, ts, columns, hot_rows)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhouse.functions.columns import op_name
-from meterhouse.operators.skew import SLICE, hot_keys, neighbour, with_slice
+from meterhouse.operators.skew import hot_keys, neighbour, with_slice
 
 START, END = "__START_AT", "__END_AT"
 
@@ -73,26 +73,31 @@ def scd2_from_snapshots(
         )
     )
     per_key = Window.partitionBy(*keys).orderBy("_no")
-    state = F.struct(*tracked)
-    numbered = (
+    state = F.struct("_no", F.struct(*tracked).alias("_s"))
+    rows = (
         snaps.join(F.broadcast(calendar), version)
-        .withColumn("_prev_no", F.lag("_no").over(per_key))
-        .withColumn("_prev", F.lag(state).over(per_key))
+        .withColumns({"_before": F.lag(state).over(per_key), "_after": F.lead(state).over(per_key)})
     )
-    opens = (
-        F.col("_prev_no").isNull()
-        | (F.col("_prev_no") != F.col("_no") - 1)
-        | ~F.col("_prev").eqNullSafe(state)
+
+    def continues(neighbour: str, step: int) -> Column:
+        other = F.col(neighbour)
+        same = (other["_no"] == F.col("_no") + step) & other["_s"].eqNullSafe(F.struct(*tracked))
+        return F.coalesce(same, F.lit(False))
+
+    # of every version only its first and last row go on, often one and the same
+    rows = (
+        rows.withColumn("_opens", ~continues("_before", -1))
+        .withColumn("_closes", ~continues("_after", 1))
+        .where("_opens or _closes")
     )
-    islands = numbered.withColumn(
-        "_island", F.sum(F.when(opens, 1).otherwise(0)).over(per_key)
+    newest = F.struct("_next", *carried)
+    rows = rows.withColumn(
+        "_last", F.when(F.col("_closes"), newest).otherwise(F.lead(newest).over(per_key))
     )
-    newest = F.max_by(F.struct("_next", *carried), "_no").alias("_last")
-    versions = islands.groupBy(*keys, "_island").agg(F.min(version).alias(START), newest)
-    return versions.select(
+    return rows.where("_opens").select(
         *keys,
         *[F.col("_last")[c].alias(c) for c in carried],
-        F.col(START),
+        F.col(version).alias(START),
         F.col("_last._next").alias(END),
     )
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterhouse.functions.columns import (
-    as_int,
     event_time,
     is_error,
     mask_ip,
@@ -36,67 +35,77 @@ def with_missing_as_null(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
-QUERY_EVENT_OPTIONAL = {
-    "tokens_estimated": "int",
-    "conversation_id": "string",
-    "message_type": "string",
-    "validation_result": "string",
-    "execution_time_ms": "int",
-    "is_successful": "boolean",
-    "_ingested_at": "timestamp",
+# Columns of the silver and bronze tables as name: (source column, type).
+QUERY_EVENTS = {
+    "q_id": ("q_id", None),
+    "user_id": ("user_id", None),
+    "plan_id": ("plan_id", None),
+    "event_ts": ("time_stamp", "time"),
+    "query_status": ("query_status", None),
+    "tokens_used": ("tokens_used", "int"),
+    "tokens_estimated": ("tokens_estimated", "int"),
+    "conversation_id": ("conversation_id", "string"),
+    "message_type": ("message_type", "string"),
+    "validation_result": ("validation_result", "string"),
+    "execution_time_ms": ("execution_time_ms", "int"),
+    "is_successful": ("is_successful", "boolean"),
+    "_ingested_at": ("_ingested_at", "timestamp"),
 }
+REQUEST_EVENTS = {
+    "log_id": ("log_id", None),
+    "request_id": ("request_id", None),
+    "user_id": ("user_id", None),
+    "http_method": ("http_method", None),
+    "endpoint": ("endpoint", None),
+    "status_code": ("response_status_code", "int"),
+    "execution_time_ms": ("execution_time_ms", "int"),
+    "client_ip": ("client_ip", "string"),
+    "event_ts": ("timestamp", "time"),
+    "_ingested_at": ("_ingested_at", "timestamp"),
+}
+CHANGE_MESSAGES = {
+    "topic": ("topic", None),
+    "partition": ("partition", None),
+    "offset": ("offset", None),
+    "_kafka_ts": ("timestamp", None),
+    "_key": ("key", "string"),
+    "_value": ("value", "string"),
+}
+CHANGE_LANE = "confluent_cdc"
+
+
+def project(df: DataFrame, columns: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """Named and typed columns; a value that does not fit its type becomes NULL.
+
+    Columns without a type are required and pass as they are. Absent typed ones are NULL.
+    """
+    out = []
+    for name, (source, kind) in columns.items():
+        if kind is None:
+            value = F.col(source)
+        elif kind == "time":
+            value = event_time(df, source)
+        elif source in df.columns:
+            value = F.col(source).try_cast(kind)
+        else:
+            value = F.lit(None).cast(kind)
+        out.append(value.alias(name))
+    return df.select(*out)
 
 
 def silver_query_events(df: DataFrame) -> DataFrame:
     """Typed query events; message bodies stay behind in bronze."""
-    df = with_missing_as_null(df, QUERY_EVENT_OPTIONAL)
-    return df.select(
-        "q_id",
-        "user_id",
-        "plan_id",
-        event_time(df, "time_stamp").alias("event_ts"),
-        "query_status",
-        as_int("tokens_used").alias("tokens_used"),
-        as_int("tokens_estimated").alias("tokens_estimated"),
-        "conversation_id",
-        "message_type",
-        "validation_result",
-        as_int("execution_time_ms").alias("execution_time_ms"),
-        F.col("is_successful").try_cast("boolean").alias("is_successful"),
-        "_ingested_at",
-    )
+    return project(df, QUERY_EVENTS)
 
 
 def silver_request_events(df: DataFrame) -> DataFrame:
     """Typed request events; an unknown status is neither an error nor a success."""
-    df = with_missing_as_null(df, {"_ingested_at": "timestamp"})
-    return df.select(
-        "log_id",
-        "request_id",
-        "user_id",
-        "http_method",
-        "endpoint",
-        as_int("response_status_code").alias("status_code"),
-        is_error(as_int("response_status_code")).alias("is_error"),
-        as_int("execution_time_ms").alias("execution_time_ms"),
-        "client_ip",
-        event_time(df, "timestamp").alias("event_ts"),
-        "_ingested_at",
-    )
+    return project(df, REQUEST_EVENTS).withColumn("is_error", is_error(F.col("status_code")))
 
 
 def cdc_bronze(messages: DataFrame, at: Column | None = None) -> DataFrame:
     """Log messages as stored in bronze: addressed and timed, the payload kept as plain text."""
-    return messages.select(
-        "topic",
-        "partition",
-        "offset",
-        F.col("timestamp").alias("_kafka_ts"),
-        F.col("key").cast("string").alias("_key"),
-        F.col("value").cast("string").alias("_value"),
-        (F.current_timestamp() if at is None else at).alias("_ingested_at"),
-        F.lit("confluent_cdc").alias("_source_lane"),
-    )
+    return with_provenance(project(messages, CHANGE_MESSAGES), CHANGE_LANE, files=False, at=at)
 
 
 def parse_changes(raw: DataFrame, topic: str, envelope: str) -> DataFrame:

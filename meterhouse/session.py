@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CONF = "spark.sql.shuffle.partitions"
+DEFAULT_SHUFFLE_PARTITIONS = "200"
 
 # Session settings every job relies on; none of them depends on the machine.
 SESSION_CONF = {
@@ -37,9 +39,16 @@ def build_session(app: str = "meterhouse", master: str | None = None, **conf: st
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the runtime defaults on a session that somebody else created."""
+    """Set the runtime defaults on a session that somebody else created.
+
+    The number of shuffle partitions belongs to the cluster. Only a local session that left it at
+    Spark's default gets one partition per thread, since every partition of a stateful stream opens
+    a state store of its own.
+    """
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    if _is_local(spark) and spark.conf.get(SHUFFLE_CONF) == DEFAULT_SHUFFLE_PARTITIONS:
+        spark.conf.set(SHUFFLE_CONF, str(spark.sparkContext.defaultParallelism))
     return spark
 
 
