@@ -57,6 +57,20 @@ def increment_query(table: str, key: str, watermark: int, limit: int, overlap: i
     return f"select * from {table} where {key} > {watermark - overlap} order by {key} limit {limit}"
 
 
+def read_jdbc_increment(
+    spark: SparkSession,
+    opts: dict[str, str],
+    table: str,
+    key: str,
+    watermark: int,
+    limit: int = PULL_LIMIT,
+    overlap: int = 0,
+) -> DataFrame:
+    """One increment over JDBC; the source filters, sorts and cuts, so only new rows travel."""
+    query = increment_query(table, key, watermark, limit, overlap)
+    return spark.read.format("jdbc").options(**opts, query=query).load()
+
+
 def pull_increment(
     df: DataFrame, key: str, watermark: int, limit: int | None = PULL_LIMIT, overlap: int = 0
 ) -> tuple[DataFrame, int]:

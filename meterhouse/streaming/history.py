@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from meterhouse.operators.history import scd2_apply_snapshot, scd2_from_changes
-from meterhouse.sources.tables import path_exists
+from meterhouse.sources.tables import complete_versions, path_exists
 from meterhouse.streaming.events import run_available_now
 
 
@@ -55,9 +55,8 @@ class ChangeHistory:
         return run_available_now(query)
 
     def latest(self, spark: SparkSession) -> DataFrame:
-        """The newest complete history."""
-        rows = spark.read.parquet(f"{self.root}/history")
-        newest = rows.agg(F.max("v")).first()[0]
+        """The newest history that was written to its end."""
+        newest = complete_versions(spark, f"{self.root}/history", "v")[-1]
         return spark.read.parquet(self.history_path(newest))
 
 
@@ -77,8 +76,8 @@ class SnapshotHistory:
     def apply(self, snap: DataFrame, at: Column, n: int) -> None:
         spark = snap.sparkSession
         before = f"{self.root}/open/v={n - 1}"
-        if n > 0 and path_exists(spark, before):
-            current = spark.read.parquet(before)
+        if n > 0:
+            current = spark.read.parquet(before)  # a missing one is an error, not a fresh start
         else:
             current = snap.limit(0).select(
                 "*", at.alias("__START_AT"), F.lit(None).cast("timestamp").alias("__END_AT")

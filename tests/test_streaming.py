@@ -130,7 +130,14 @@ def test_three_lanes_into_gold(spark, tables, tmp_path):
     assert mark == sources["query_log"].agg(F.max("q_id")).first()[0]
     assert lake.ingest_files("query_log").get("rows", 0) == 0
 
+    # gold by touched days equals gold rebuilt
+    half = spark.read.parquet(lake.path("silver", "query_log_events"))
+    marks = sorted(r[0] for r in half.select("_ingested_at").distinct().collect())
+    assert len(marks) >= 3
+    lake.build_gold()
+    partial = lake.build_gold(since=F.lit(marks[-2]))
     gold = lake.build_gold()
+    assert 0 < partial["token_usage_hourly"] < gold["token_usage_hourly"]
     batch = marts.token_usage_hourly(
         quality.expect_or_drop(
             shape.silver_query_events(sources["query_log"]), {"u": "user_id IS NOT NULL"}
@@ -179,3 +186,37 @@ def test_three_lanes_into_gold(spark, tables, tmp_path):
     assert log.count() == 6
     both = history.compare_lanes(versions, log, ["plan_id", "hourly_token_limit"])
     assert both.where("plan_id = 1").count() == 4
+
+
+def test_gold_by_touched_days_equals_a_rebuild(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+
+    def silver(rows, ingested):
+        cols = "q_id int, user_id int, plan_id int, event_ts timestamp, query_status string, tokens_used int"
+        df = spark.createDataFrame(rows, cols).withColumn("_ingested_at", F.lit(ingested))
+        df = df.withColumn("event_day", F.to_date("event_ts"))
+        df.write.mode("append").partitionBy("event_day").parquet(lake.path("silver", "query_log_events"))
+        df.select(
+            F.col("q_id").alias("log_id"),
+            F.lit("/x").alias("endpoint"),
+            F.lit("GET").alias("http_method"),
+            F.col("tokens_used").alias("execution_time_ms"),
+            F.lit(False).alias("is_error"),
+            "event_ts",
+            "_ingested_at",
+            "event_day",
+        ).write.mode("append").partitionBy("event_day").parquet(lake.path("silver", "request_log_events"))
+
+    day = 24 * 60
+    silver([(1, 1, 1, at(0), "success", 5), (2, 1, 1, at(day), "failed", 6)], at(2 * day))
+    assert lake.build_gold()["token_usage_hourly"] == 2
+    silver([(3, 1, 1, at(day + 1), "success", 7)], at(3 * day))
+    assert lake.build_gold(since=F.lit(at(2 * day)))["token_usage_hourly"] == 1
+
+    def stored():
+        df = spark.read.parquet(lake.path("gold", "token_usage_hourly"))
+        return sorted((r["usage_hour"], r["tokens_used"], r["query_count"]) for r in df.collect())
+
+    partial = stored()
+    lake.build_gold()
+    assert partial == stored() == [(at(0), 5, 1), (at(day), 13, 2)]
