@@ -58,7 +58,7 @@ def as_of_merge(
     """Events and versions in one time order per key; each event takes the last version before it.
 
     Hot keys are cut into slices along the time; a slice without a version of its own takes the last
-    one of the slices before it.
+    one of the slices before it. The history is read several times, so pass a stored one.
     """
     version = F.struct(*columns, END)
     left = events.select(

@@ -10,6 +10,7 @@ from meterhouse.operators.gate import PASSED, WINDOWS
 from meterhouse.operators.history import START
 from meterhouse.operators.shape import drop_shadow_rows
 from meterhouse.operators.skew import hot_keys, neighbour, running_sum, with_slice
+from meterhouse.session import write_and_read
 
 
 def token_usage_hourly(events: DataFrame, mode: str = "reference") -> DataFrame:
@@ -89,6 +90,8 @@ def budget_burndown(
     rows = neighbour(rows, keys, [START], F.col("remaining_budget"), "_prev", hot, back=True)
     drop = F.col("_prev") - F.col("remaining_budget")
     rows = rows.withColumn("spent", F.when(drop > 0, drop).otherwise(0))
+    if hot is not None:
+        rows = write_and_read(rows, "burndown")  # the sliced sum reads it twice
     rows = running_sum(rows, keys, [START], F.col("spent"), "spent_so_far", hot)
     return rows.select(
         *keys,

@@ -9,8 +9,10 @@ row count, and the numbers are carried from piece to piece.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,10 +32,10 @@ START = [f"from_{c}" for c in STATE]  # the state a scan begins with
 REQUEST = ["user_id", "ts_us", "request_seq", "tokens", "allow_budget"]
 
 LINE_SCHEMA = (
-    "user_id int, request_seq bigint, ts_us bigint, tokens bigint, validate_msg string, "
-    "record_msg string, charged bigint, hourly_token bigint, daily_token bigint, "
-    "monthly_token bigint, hourly_start bigint, daily_start bigint, monthly_start bigint, "
-    "remaining_budget bigint, plan_id int"
+    "user_id int, request_seq bigint, ts_us bigint, tokens bigint, plan_id int, "
+    "validate_msg string, record_msg string, charged bigint, hourly_token bigint, "
+    "daily_token bigint, monthly_token bigint, hourly_start bigint, daily_start bigint, "
+    "monthly_start bigint, remaining_budget bigint"
 )
 LINE_ARROW = pa.schema(
     [
@@ -41,55 +43,79 @@ LINE_ARROW = pa.schema(
         for name, kind in (part.split() for part in LINE_SCHEMA.split(", "))
     ]
 )
-_NAMES = tuple(w.upper() for w in WINDOWS)
-_LENGTHS = tuple(hours * MICROS_PER_HOUR for hours in WINDOWS.values())
+PASSED_ON = LINE_ARROW.names[:5]  # columns a scan hands through as they are
+DECIDED = LINE_ARROW.names[5:]
+HOUR, DAY, MONTH = (hours * MICROS_PER_HOUR for hours in WINDOWS.values())
+# messages by the set of windows at their limit, as bits in the order of WINDOWS
+HITS = [" ".join(w.upper() for i, w in enumerate(WINDOWS) if bits >> i & 1) for bits in range(8)]
 
 
 class Meter:
-    """Counters, window starts and budget of one user."""
+    """Counters, window starts and budget of one user, and the limits they are held against."""
 
-    __slots__ = ("counts", "starts", "budget", "limits", "floor", "usable", "plan")
+    __slots__ = ("state", "limits", "total", "usable")
 
     def __init__(self, state: list, limits: list):
-        self.counts, self.starts, self.budget = list(state[:3]), list(state[3:6]), state[6]
-        self.limits, total, self.usable, self.plan = limits[:3], *limits[3:]
-        self.floor = total * gate.BUDGET_FLOOR_PERCENT
-
-    def state(self) -> tuple:
-        return (*self.counts, *self.starts, self.budget)
-
-    def step(self, ts_us: int, tokens: int, allow: bool, forget: bool) -> tuple:
-        """One request: (validate_msg, record_msg, charged). ``forget`` undoes a blocked refresh."""
-        counts, starts, limits = self.counts, self.starts, self.limits
-        kept = (counts[:], starts[:]) if forget else None
-        hit, need, over = [], 0, [0, 0, 0]
-        for i in range(3):
-            if ts_us - starts[i] >= _LENGTHS[i]:
-                counts[i], starts[i] = 0, ts_us
-            if counts[i] >= limits[i]:
-                hit.append(_NAMES[i])
-            beyond = counts[i] + tokens - limits[i]
-            if beyond > 0:
-                over[i] = beyond
-                need = max(need, beyond)
-        admitted = gate.ALLOWED
-        if hit:
-            if allow and self.usable and self.budget * 100 >= self.floor:
-                admitted = gate.ALLOWED_USING_BUDGET
+        self.state = tuple(state)
+        self.limits, self.total, self.usable = tuple(limits[:3]), limits[3], limits[4]
+
+    def run(self, times: list, amounts: list, allows: list, forget: bool) -> list[tuple]:
+        """Requests of the user in order; one tuple of the ``DECIDED`` columns for each.
+
+        ``forget`` undoes the refresh of a request that admission refuses. Where no request can pass
+        before the next window ends, the stretch up to it is answered in one go.
+        """
+        h, d, m, hs, ds, ms, budget = self.state
+        lh, ld, lm = self.limits
+        floor, usable = self.total * gate.BUDGET_FLOOR_PERCENT, self.usable
+        out: list[tuple] = []
+        i, n = 0, len(times)
+        while i < n:
+            ts, tokens, allow = times[i], amounts[i], allows[i]
+            old = (h, d, m, hs, ds, ms)
+            if ts - hs >= HOUR:
+                h, hs = 0, ts
+            if ts - ds >= DAY:
+                d, ds = 0, ts
+            if ts - ms >= MONTH:
+                m, ms = 0, ts
+            hit = (h >= lh) + 2 * (d >= ld) + 4 * (m >= lm)
+            rich = usable and budget * 100 >= floor
+            if hit and not (allow and rich):
+                stop = i + 1
+                fresh = (h, d, m, hs, ds, ms) != old
+                if forget and fresh:
+                    h, d, m, hs, ds, ms = old
+                elif not rich:
+                    stop = bisect_left(times, min(hs + HOUR, ds + DAY, ms + MONTH), stop, n)
+                state = (h, d, m, hs, ds, ms, budget)
+                plain = (HITS[hit] + gate.LIMIT_EXCEEDED, None, 0, *state)
+                poor = (HITS[hit] + gate.NO_BUDGET_SUFFIX, None, 0, *state)
+                out.extend([poor if a else plain for a in allows[i:stop]])
+                i = stop
+                continue
+            over_h, over_d, over_m = h + tokens - lh, d + tokens - ld, m + tokens - lm
+            need = max(over_h, over_d, over_m, 0)
+            if not need:
+                message = gate.SUCCESS
+            elif not allow:
+                message = gate.PLAN_LIMIT_EXCEEDED
+            elif budget > need:
+                message = gate.SUCCESS_USING_OVERFLOW
             else:
-                if forget:
-                    self.counts, self.starts = kept
-                reason = gate.NO_BUDGET_SUFFIX if allow else gate.LIMIT_EXCEEDED
-                return " ".join(hit) + reason, None, 0
-        if need and not allow:
-            return admitted, gate.PLAN_LIMIT_EXCEEDED, 0
-        if need and self.budget <= need:
-            exact = self.budget == need
-            return admitted, gate.CHECK_VIOLATION if exact else gate.INSUFFICIENT_BUDGET, 0
-        for i in range(3):
-            counts[i] += tokens - over[i]
-        self.budget -= need
-        return admitted, gate.SUCCESS_USING_OVERFLOW if need else gate.SUCCESS, need
+                message = gate.CHECK_VIOLATION if budget == need else gate.INSUFFICIENT_BUDGET
+            charged = 0
+            if message in gate.CHARGED:
+                h = lh if over_h > 0 else h + tokens
+                d = ld if over_d > 0 else d + tokens
+                m = lm if over_m > 0 else m + tokens
+                charged = need
+                budget -= need
+            admitted = gate.ALLOWED_USING_BUDGET if hit else gate.ALLOWED
+            out.append((admitted, message, charged, h, d, m, hs, ds, ms, budget))
+            i += 1
+        self.state = (h, d, m, hs, ds, ms, budget)
+        return out
 
 
 def new_meter(first_us: int, start: list, limits: list) -> Meter:
@@ -100,22 +126,29 @@ def new_meter(first_us: int, start: list, limits: list) -> Meter:
 def scan(mode: str):
     """Walks over batches sorted by user and time; holds one meter and one batch at a time."""
     forget = mode == "api"
-    columns = [*REQUEST, *LIMITS, *START]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, meter = None, None
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            users = batch.column("user_id").to_numpy()
+            times, amounts = (batch.column(c).to_numpy().tolist() for c in ("ts_us", "tokens"))
+            allows = batch.column("allow_budget").to_pylist()
+            bounds = [0, *(np.flatnonzero(users[1:] != users[:-1]) + 1).tolist(), len(users)]
             out: list[tuple] = []
-            for row in zip(*[batch.column(c).to_pylist() for c in columns]):
-                user, ts_us, seq, tokens, allow = row[:5]
-                if meter is None or user != current:
-                    current, meter = user, new_meter(ts_us, row[11:], row[5:11])
-                decision = meter.step(ts_us, tokens, allow, forget)
-                out.append((user, seq, ts_us, tokens, *decision, *meter.state(), meter.plan))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*out), LINE_ARROW)], schema=LINE_ARROW
-                )
+            for lo, hi in zip(bounds, bounds[1:]):
+                if meter is None or users[lo] != current:
+                    current = users[lo]
+                    start, limits = (
+                        [batch.column(c)[lo].as_py() for c in names] for names in (START, LIMITS)
+                    )
+                    meter = new_meter(times[lo], start, limits)
+                out.extend(meter.run(times[lo:hi], amounts[lo:hi], allows[lo:hi], forget))
+            fields = [LINE_ARROW.field(c) for c in DECIDED]
+            decided = [pa.array(c, f.type) for c, f in zip(zip(*out), fields)]
+            kept = [batch.column(c) for c in PASSED_ON]
+            yield pa.RecordBatch.from_arrays([*kept, *decided], schema=LINE_ARROW)
 
     return run
 
@@ -151,12 +184,12 @@ def user_limits(
 
 
 def compact(requests: DataFrame) -> DataFrame:
-    """The five request columns the gate needs."""
+    """The five request columns the gate needs; no token count means no tokens."""
     return requests.select(
         "user_id",
         F.unix_micros("ts").alias("ts_us"),
         F.col("request_seq").cast("bigint").alias("request_seq"),
-        F.col("tokens").cast("bigint").alias("tokens"),
+        F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)).alias("tokens"),
         F.coalesce("allow_budget", F.lit(False)).alias("allow_budget"),
     )
 

@@ -10,6 +10,7 @@ from meterhouse.plans.fixtures import Tables
 from meterhouse.plans.oracles import using
 from meterhouse.plans.queries_events import change_rows, plan_history
 from meterhouse.plans.registry import query
+from meterhouse.session import write_and_read
 
 START, END = history.START, history.END
 
@@ -385,8 +386,9 @@ def _(t: Tables) -> DataFrame:
         F.col("o_custkey").cast("int").alias("user_id"),
         (F.unix_millis(F.col("o_orderdate").cast("timestamp")) - 86_400_000).alias("day_before"),
     )
+    stored = write_and_read(log_history(t), "budgets")
     return asof.as_of_join(
-        orders, log_history(t), ["user_id"], "day_before", ["remaining_budget"]
+        orders, stored, ["user_id"], "day_before", ["remaining_budget"]
     ).drop("day_before")
 
 

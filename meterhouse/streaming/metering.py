@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from meterhouse.operators.replay import (
+    DECIDED,
     LIMITS,
     LINE_SCHEMA,
-    REQUEST,
+    PASSED_ON,
     START,
     STATE,
     Meter,
@@ -21,7 +22,6 @@ from meterhouse.operators.replay import (
 )
 
 STATE_SCHEMA = ", ".join(f"{c} bigint" for c in STATE)
-LINE_NAMES = [part.split()[0] for part in LINE_SCHEMA.split(", ")]
 
 
 class UserMeter(StatefulProcessor):
@@ -43,20 +43,10 @@ class UserMeter(StatefulProcessor):
         else:
             start = [None if pd.isna(v) else int(v) for v in head[START]]
             meter = new_meter(int(head["ts_us"]), start, limits)
-        lines = [
-            (
-                key[0],
-                seq,
-                ts_us,
-                tokens,
-                *meter.step(ts_us, tokens, allow, self.forget),
-                *meter.state(),
-                meter.plan,
-            )
-            for _, ts_us, seq, tokens, allow in zip(*[pdf[c].tolist() for c in REQUEST])
-        ]
-        self.counters.update(meter.state())
-        yield pd.DataFrame(lines, columns=LINE_NAMES)
+        times, amounts, allows = (pdf[c].tolist() for c in ("ts_us", "tokens", "allow_budget"))
+        decided = pd.DataFrame(meter.run(times, amounts, allows, self.forget), columns=DECIDED)
+        self.counters.update(meter.state)
+        yield pd.concat([pdf[PASSED_ON].reset_index(drop=True), decided], axis=1)
 
     def close(self) -> None:
         pass
