@@ -86,12 +86,14 @@ def budget_burndown(
     """
     limit = {} if hot_rows is None else {"min_rows": hot_rows}
     hot = hot_keys(history if count_on is None else count_on, keys, START, **limit)
+    if hot is not None:
+        history = write_and_read(history, "budget-history")  # sliced windows read it twice
     rows = with_slice(history, keys, START, hot)
     rows = neighbour(rows, keys, [START], F.col("remaining_budget"), "_prev", hot, back=True)
     drop = F.col("_prev") - F.col("remaining_budget")
     rows = rows.withColumn("spent", F.when(drop > 0, drop).otherwise(0))
     if hot is not None:
-        rows = write_and_read(rows, "burndown")  # the sliced sum reads it twice
+        rows = write_and_read(rows, "burndown")
     rows = running_sum(rows, keys, [START], F.col("spent"), "spent_so_far", hot)
     return rows.select(
         *keys,

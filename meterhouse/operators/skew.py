@@ -15,6 +15,7 @@ from meterhouse.session import write_and_read
 HOT_ROWS = 1_000_000  # rows one task may sort for a single key
 MAX_HOT_KEYS = 1_000  # a hot key holds over 1/1000 of the rows, so there are fewer than that
 SLICES = 256
+BLOCK = 16
 
 SLICE = "_slice"
 
@@ -52,11 +53,20 @@ def with_slice(df: DataFrame, keys: list[str], order: str, hot: DataFrame | None
     """Adds ``_slice``, a number that never falls along ``order`` within a key; 0 for other keys."""
     if hot is None:
         return df.withColumn(SLICE, F.lit(0))
-    below = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
+    # the number of bounds below a row: first by every BLOCK-th bound, then within that block
+    coarse = F.filter("_bounds", lambda b, i: (i + 1) % BLOCK == 0)
+    lookup = F.broadcast(hot.withColumn("_coarse", coarse))
+    block = F.slice("_bounds", F.col("_block") * BLOCK + 1, BLOCK - 1)
     return (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn(SLICE, F.when(F.col("_bounds").isNull(), 0).otherwise(below))
-        .drop("_bounds")
+        df.join(lookup, keys, "left")
+        .withColumn("_block", F.size(F.filter("_coarse", lambda b: b < F.col(order))))
+        .withColumn(
+            SLICE,
+            F.when(F.col("_bounds").isNull(), 0).otherwise(
+                F.col("_block") * BLOCK + F.size(F.filter(block, lambda b: b < F.col(order)))
+            ),
+        )
+        .drop("_bounds", "_coarse", "_block")
     )
 
 
