@@ -5,9 +5,10 @@ from compare import connect, difference, duck_rows, spark_rows
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from meterhouse.plans import catalog
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
