@@ -23,11 +23,17 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterhouse.llm.tables import documents
 
 KINDS = ("assign", "access", "hex", "key", "jwt")
-SPANS = "array<struct<kind:string,start:int,end:int>>"
+SPANS = T.ArrayType(
+    T.StructType()
+    .add("kind", T.StringType())
+    .add("start", T.IntegerType())
+    .add("end", T.IntegerType())
+)
 
 # The three base patterns and their least lengths.
 ASSIGN = re.compile(
@@ -168,7 +174,7 @@ def spans_of(texts: pa.Array) -> pa.Array:
     return pa.array(rows, pa.list_(kind))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def redacted(texts: pa.Array) -> pa.Array:
     """Whole texts with every span, overlapping ones merged, replaced by ``[secret]``."""
     out = []
