@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import secrets
+from meterhouse.llm import secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": secrets.query,
+    "op9_simhash": simhash.query,
 }
 
 ORACLES: dict[str, str] = {}

@@ -147,14 +147,15 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    covered = -1
+    armoured: list[tuple[int, int]] = []
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
             if is_armoured_key(m[2]):
                 found.append((m.start(), 3, m.end()))
-                covered = m.end()
+                armoured.append(m.span())
     for m in RUN.finditer(text):
-        if m.start() >= covered and is_key(decode64(m[0])):
+        inside = any(a <= m.start() < b for a, b in armoured)
+        if not inside and is_key(decode64(m[0])):
             found.append((m.start(), 3, m.end()))
     for m in HEX_RUN.finditer(text):
         if is_key(bytes.fromhex(m[0])):
