@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import secrets, simhash
+from meterhouse.llm import decontaminate, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": secrets.query,
+    "op7_decontaminate": decontaminate.query,
     "op9_simhash": simhash.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_decontaminate": decontaminate.ORACLE,
+}
