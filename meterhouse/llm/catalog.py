@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import decontaminate, secrets, simhash
+from meterhouse.llm import bpe, decontaminate, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": secrets.query,
+    "op3_byte_bpe": bpe.query,
     "op7_decontaminate": decontaminate.query,
     "op9_simhash": simhash.query,
 }
