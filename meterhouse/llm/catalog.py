@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import bpe, decontaminate, secrets, simhash
+from meterhouse.llm import bpe, decontaminate, quality, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": secrets.query,
     "op3_byte_bpe": bpe.query,
+    "op5_quality": quality.query,
     "op7_decontaminate": decontaminate.query,
     "op9_simhash": simhash.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLES: dict[str, str] = {
