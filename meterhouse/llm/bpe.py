@@ -2,15 +2,17 @@
 
 Texts are cut into pre-tokens by the tokenizer's pattern. Documents that lie together form a block, in
 which each distinct pre-token has a number, frequent ones a small one; a document is then the sequence
-of these numbers by position. Only the distinct words of the blocks are shuffled by word: each distinct
-word of the corpus is encoded once, its ids are joined back to the blocks that hold it, and a block
-puts the ids in place of its numbers, position by position. However common a word is, it is one row for
-each block. Decoding joins every id with the token-byte table, whose size is that of the vocabulary.
+of these numbers by position. Only the distinct words of the blocks are shuffled by word, those of a
+block for one bucket of words packed into a row: each distinct word of the corpus is encoded once in
+its bucket, its ids go back to the blocks that hold it, and a block puts the ids in place of its
+numbers, position by position. However common a word is, a block sends it once. Texts are cut twice,
+once for their words and once for their sequences, which costs less than to store either. Decoding
+joins every id with the token-byte table, whose size is that of the vocabulary.
 
 A null or empty text has no ids. Rows with a null id and repeated rows are encoded each for itself;
 every row of the input is one row of the result. An empty table gives an empty result. ``docs`` should
 be a scan or a written table: blocks are numbered by partition and place, which has to come out the
-same when a lost executor's part is read again.
+same when they are cut again.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,9 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterhouse.llm.tables import documents
-from meterhouse.session import write_and_read
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
+BUCKET_CHARS = 64_000_000  # of the corpus, for each bucket of words
+LEAST_BUCKETS = 64
+SHORT = 64  # bytes
 NUMBER_BYTES = 4
 
 # Code points not assigned in Unicode 16, which the tokenizer library's tables stop at,
@@ -63,6 +68,31 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: always the pair of least rank merges, the leftmost of equal ones."""
     if word in ranks:
         return [ranks[word]]
+    return encode_short(word, ranks) if len(word) <= SHORT else encode_long(word, ranks)
+
+
+def encode_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """All pairs are looked through for each merge."""
+    never = len(ranks) + 256
+    rank_of = ranks.get
+    parts = [word[i : i + 1] for i in range(len(word))]
+    pairs = [rank_of(a + b, never) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        least = min(pairs)
+        if least == never:
+            break
+        at = pairs.index(least)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = rank_of(parts[at - 1] + parts[at], never)
+        if at < len(pairs):
+            pairs[at] = rank_of(parts[at] + parts[at + 1], never)
+    return [ranks[p] for p in parts]
+
+
+def encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Pairs wait in a heap, so a very long pre-token takes little more than linear time."""
     size = len(word)
     end = list(range(1, size + 1))  # of the part that begins at each place; 0: no part begins here
     before = list(range(-1, size - 1))
@@ -94,6 +124,20 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+def packed_words(words: list[bytes], zip_: zstandard.ZstdCompressor) -> bytes:
+    sizes = np.array([len(w) for w in words], "<u4").tobytes()
+    return zip_.compress(len(words).to_bytes(4, "little") + sizes + b"".join(words))
+
+
+def unpacked_words(body: bytes, unzip: zstandard.ZstdDecompressor) -> Iterator[bytes]:
+    data = unzip.decompress(body)
+    count = int.from_bytes(data[:4], "little")
+    at = 4 + 4 * count
+    for size in np.frombuffer(data, "<u4", count, 4).tolist():
+        yield data[at : at + size]
+        at += size
+
+
 def pre_tokens(text: str, pattern: regex.Pattern) -> list[str]:
     if text.isascii() or not NEWER.search(text):
         return pattern.findall(text)
@@ -110,97 +154,130 @@ def unpacked(body: bytes, unzip: zstandard.ZstdDecompressor) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def pieces(docs: DataFrame, pattern: str, block_chars: int) -> DataFrame:
-    """For each block: a row for each document (doc_id, body), one for each distinct word (no, word)."""
-    id_type = docs.select("doc_id").schema[0].dataType
-    schema = (
-        T.StructType()
-        .add("block", T.LongType())
-        .add("no", T.IntegerType())
-        .add("word", T.StringType())
-        .add("doc_id", id_type)
-        .add("body", T.BinaryType())
-    )
+class Blocks:
+    """Cuts the batches of a task into blocks: ids and numbers of its documents, and its words."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = regex.compile(pattern)
-        zip_ = zstandard.ZstdCompressor(level=3)
-        first = TaskContext.get().partitionId() << 32
-
-        def block(n: int, ids: list, found: list[np.ndarray], numbers: dict[str, int]):
-            sizes = np.bincount(np.concatenate(found), minlength=len(numbers))
-            rank = np.empty(len(sizes), np.int64)
-            rank[np.argsort(-sizes, kind="stable")] = np.arange(len(sizes))
-            words, docs = list(numbers), len(ids)
-            arrays = [
-                pa.array(np.full(docs + len(words), first + n)),
-                pa.array([None] * docs + rank.tolist(), pa.int32()),
-                pa.array([None] * docs + words, pa.string()),
-                pa.concat_arrays([*ids, pa.nulls(len(words), ids[0].type)]),
-                pa.array([packed(rank[f], zip_) for f in found] + [None] * len(words), pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays(arrays, schema.names)
-
-        n, size, ids, found, numbers = 0, 0, [], [], {}
+    def __init__(self, pattern: str, block_chars: int):
+        self.pattern, self.block_chars = regex.compile(pattern), block_chars
+
+    def __call__(
+        self, batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[tuple[int, pa.Array, list[np.ndarray], list[str]]]:
+        n, size, ids, found, numbers = TaskContext.get().partitionId() << 32, 0, [], [], {}
         for batch in batches:
-            texts = batch.column("text")
-            for i in range(len(batch)):
-                text = texts[i].as_py() or ""
-                words = pre_tokens(text, compiled)
+            for i, text in enumerate(batch.column("text")):
+                text = text.as_py() or ""
                 number = numbers.setdefault
-                found.append(
-                    np.array([number(w, len(numbers)) for w in words], np.int64)
-                )
+                words = pre_tokens(text, self.pattern)
+                found.append(np.array([number(w, len(numbers)) for w in words], np.int64))
                 ids.append(batch.column("doc_id").slice(i, 1))
                 size += len(text)
-                if size >= block_chars:
-                    yield block(n, ids, found, numbers)
+                if size >= self.block_chars:
+                    yield n, pa.concat_arrays(ids), *self.by_frequency(found, numbers)
                     n, size, ids, found, numbers = n + 1, 0, [], [], {}
         if ids:
-            yield block(n, ids, found, numbers)
+            yield n, pa.concat_arrays(ids), *self.by_frequency(found, numbers)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    @staticmethod
+    def by_frequency(found: list[np.ndarray], numbers: dict[str, int]):
+        sizes = np.bincount(np.concatenate(found), minlength=len(numbers))
+        order = np.argsort(-sizes, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        words = list(numbers)
+        return [rank[f] for f in found], [words[i] for i in order]
+
+
+WORD_ROWS = "bucket int, block long, numbers binary, words binary"
+ID_ROWS = "back long, numbers binary, sizes binary, ids binary"
 
 
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """(doc_id, ids) of every row of ``docs``."""
+    docs = docs.select("doc_id", "text")
     table = docs.sparkSession.sparkContext.broadcast(ranks)
-
-    @F.arrow_udf(IDS)
-    def encoded(words: pa.Array) -> pa.Array:
-        known = table.value
-        return pa.array(
-            [encode_word(w.encode(), known) for w in words.to_pylist()], pa.list_(pa.int32())
+    total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, total // BUCKET_CHARS)
+    body_rows = T.StructType().add("block", T.LongType()).add(docs.schema["doc_id"])
+    body_rows = body_rows.add("body", T.BinaryType())
+    id_rows = T.StructType([docs.schema["doc_id"]]).add("ids", IDS)
+    blocks = Blocks(pattern, block_chars)
+
+    def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(level=3)
+        for block, _, _, words in blocks(batches):
+            coded = [w.encode() for w in words]
+            bucket = np.array([xxhash.xxh64_intdigest(w) % buckets for w in coded], np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            rows = np.split(order, cuts[1:]) if len(order) else []
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([int(bucket[r[0]]) for r in rows], pa.int32()),
+                    pa.array([block] * len(rows), pa.int64()),
+                    pa.array([packed(np.diff(r, prepend=0), zip_) for r in rows], pa.binary()),
+                    pa.array([packed_words([coded[i] for i in r], zip_) for r in rows], pa.binary()),
+                ],
+                ["bucket", "block", "numbers", "words"],
+            )
+
+    def encode_bucket(rows: pa.Table) -> pa.Table:
+        zip_, unzip = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        known, ids_of = table.value, {}
+        sizes, ids = [], []
+        for body in rows.column("words"):
+            lists = []
+            for word in unpacked_words(body.as_py(), unzip):
+                found = ids_of.get(word)
+                if found is None:
+                    found = ids_of[word] = encode_word(word, known)
+                lists.append(found)
+            sizes.append(packed(np.array([len(x) for x in lists]), zip_))
+            ids.append(packed(np.array([i for x in lists for i in x]), zip_))
+        return pa.table(
+            {
+                "back": rows.column("block"),
+                "numbers": rows.column("numbers"),
+                "sizes": pa.array(sizes, pa.binary()),
+                "ids": pa.array(ids, pa.binary()),
+            }
         )
 
-    cut = write_and_read(pieces(docs, pattern, block_chars), "pieces")
-    held = cut.where("word IS NOT NULL").select("word", "block", "no")
-    coded = held.select("word").distinct().withColumn("ids", encoded("word"))
-    joined = held.join(coded, "word").select(F.col("block").alias("to"), "no", "ids")
-    bodies = cut.where("word IS NULL").select("block", "doc_id", "body")
-    schema = T.StructType([bodies.schema["doc_id"]]).add("ids", IDS)
+    def cut_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(level=3)
+        for block, ids, found, _ in blocks(batches):
+            bodies = pa.array([packed(f, zip_) for f in found], pa.binary())
+            same = pa.array(np.full(len(ids), block))
+            yield pa.RecordBatch.from_arrays([same, ids, bodies], body_rows.names)
 
     def assemble(bodies: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("no").combine_chunks()
-        lists = words.column("ids").combine_chunks()
-        values = lists.flatten().to_numpy(zero_copy_only=False)
-        length = np.diff(lists.offsets.to_numpy())
-        begin = np.cumsum(length) - length
         unzip = zstandard.ZstdDecompressor()
+        columns = [
+            [unpacked(body, unzip).astype(np.int64) for body in words.column(c).to_pylist()]
+            for c in ("numbers", "sizes", "ids")
+        ]
+        none = [np.zeros(0, np.int64)]
+        numbers = np.concatenate([np.cumsum(x) for x in columns[0]] + none)
+        sizes, values = (np.concatenate(x + none) for x in columns[1:])
+        length, begin = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        length[numbers], begin[numbers] = sizes, np.cumsum(sizes) - sizes
         out = []
         for body in bodies.column("body").to_pylist():
-            numbers = unpacked(body, unzip)
-            count = length[numbers]
+            at = unpacked(body, unzip)
+            count = length[at]
             inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            out.append(values[np.repeat(begin[numbers], count) + inner])
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
-        flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+            out.append(values[np.repeat(begin[at], count) + inner].astype(np.int32))
+        offsets = np.cumsum([0] + [len(x) for x in out]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out)))
         return pa.table({"doc_id": bodies.column("doc_id"), "ids": ids})
 
-    return bodies.groupBy("block").cogroup(joined.groupBy("to")).applyInArrow(assemble, schema)
+    replies = (
+        docs.mapInArrow(cut_words, WORD_ROWS).groupBy("bucket").applyInArrow(encode_bucket, ID_ROWS)
+    )
+    bodies = docs.mapInArrow(cut_bodies, body_rows)
+    return bodies.groupBy("block").cogroup(replies.groupBy("back")).applyInArrow(assemble, id_rows)
 
 
 def decoded(ids: Column, ranks: dict[bytes, int], spark: SparkSession) -> Column:
