@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import bpe, decontaminate, quality, secrets, simhash, toxicity
+from meterhouse.llm import bpe, decontaminate, quality, secrets, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": secrets.query,
     "op3_byte_bpe": bpe.query,
     "op5_quality": quality.query,
+    "op6_substring_dedup": substrings.query,
     "op7_decontaminate": decontaminate.query,
     "op9_simhash": simhash.query,
     "op10_toxicity": toxicity.query,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_substring_dedup": substrings.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
 }
