@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import bpe, decontaminate, quality, secrets, simhash, substrings, toxicity
+from meterhouse.llm import bpe, decontaminate, pages, quality, secrets, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": secrets.query,
     "op3_byte_bpe": bpe.query,
+    "op4_html_text": pages.query,
     "op5_quality": quality.query,
     "op6_substring_dedup": substrings.query,
     "op7_decontaminate": decontaminate.query,
