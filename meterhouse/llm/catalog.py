@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import bpe, decontaminate, pages, quality, secrets, simhash, substrings, toxicity
+from meterhouse.llm import bpe, decontaminate, fingerprints, pages, quality, secrets, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": secrets.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": quality.query,
     "op6_substring_dedup": substrings.query,
     "op7_decontaminate": decontaminate.query,
+    "op8_fingerprints": fingerprints.query,
     "op9_simhash": simhash.query,
     "op10_toxicity": toxicity.query,
 }
