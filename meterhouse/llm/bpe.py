@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 
 from meterhouse.llm.tables import documents
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 BUCKET_CHARS = 64_000_000  # of the corpus, for each bucket of words
 LEAST_BUCKETS = 64
 SHORT = 64  # bytes
@@ -138,10 +139,56 @@ def unpacked_words(body: bytes, unzip: zstandard.ZstdDecompressor) -> Iterator[b
         at += size
 
 
-def pre_tokens(text: str, pattern: regex.Pattern) -> list[str]:
-    if text.isascii() or not NEWER.search(text):
-        return pattern.findall(text)
-    return [text[m.start() : m.end()] for m in pattern.finditer(NEWER.sub(NEITHER, text))]
+def class_ranges(name: str) -> str:
+    """The code points below U+10000 of a character class, as ranges for a set of characters."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    runs = regex.finditer(f"{name}+", NEWER.sub(NEITHER, every))
+    return "".join(f"\\u{m.start_point:04x}-\\u{m.end_point:04x}" for m in map(Run, runs))
+
+
+class Run:
+    """First and last code point of a match in the text of all code points."""
+
+    def __init__(self, found: regex.Match):
+        self.start_point, self.end_point = (
+            n + 0x800 * (n >= 0xD800) for n in (found.start(), found.end() - 1)
+        )
+
+
+def plain_pattern(pattern: str) -> re.Pattern | None:
+    """The same pattern with its classes spelled out, three times as fast; None if it has others."""
+    names = {r"\p{L}": class_ranges(r"\p{L}"), r"\p{N}": class_ranges(r"\p{N}")}
+    names[r"\s"] = class_ranges(r"\s")
+    parts = re.split(r"(\[[^\]]*\])", pattern)
+    for i, part in enumerate(parts):
+        for name, ranges in names.items():
+            part = part.replace(name, ranges if i % 2 else f"[{ranges}]")
+        parts[i] = part if i % 2 else part.replace(r"\S", f"[^{names[chr(92) + 's']}]")
+    spelled = "".join(parts)
+    return None if re.search(r"\\(?!u)|\(\?[^!=:]", spelled) else re.compile(spelled)
+
+
+class PreTokens:
+    """Cuts texts by a tokenizer's pattern."""
+
+    def __init__(self, pattern: str):
+        self.full, self.plain = regex.compile(pattern), plain_pattern(pattern)
+
+    def __call__(self, text: str) -> list[str]:
+        if self.plain and (text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text)):
+            return self.plain.findall(text)
+        if not NEWER.search(text):
+            return self.full.findall(text)
+        cut = self.full.finditer(NEWER.sub(NEITHER, text))
+        return [text[m.start() : m.end()] for m in cut]
+
+
+class Numbers(dict):
+    """Numbers words in the order in which they first occur."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 def packed(numbers: np.ndarray, zip_: zstandard.ZstdCompressor) -> bytes:
@@ -158,23 +205,23 @@ class Blocks:
     """Cuts the batches of a task into blocks: ids and numbers of its documents, and its words."""
 
     def __init__(self, pattern: str, block_chars: int):
-        self.pattern, self.block_chars = regex.compile(pattern), block_chars
+        self.pattern, self.block_chars = pattern, block_chars
 
     def __call__(
         self, batches: Iterator[pa.RecordBatch]
     ) -> Iterator[tuple[int, pa.Array, list[np.ndarray], list[str]]]:
-        n, size, ids, found, numbers = TaskContext.get().partitionId() << 32, 0, [], [], {}
+        cut = PreTokens(self.pattern)
+        n, size, ids, found, numbers = TaskContext.get().partitionId() << 32, 0, [], [], Numbers()
         for batch in batches:
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py() or ""
-                number = numbers.setdefault
-                words = pre_tokens(text, self.pattern)
-                found.append(np.array([number(w, len(numbers)) for w in words], np.int64))
+                words = cut(text)
+                found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 ids.append(batch.column("doc_id").slice(i, 1))
                 size += len(text)
                 if size >= self.block_chars:
                     yield n, pa.concat_arrays(ids), *self.by_frequency(found, numbers)
-                    n, size, ids, found, numbers = n + 1, 0, [], [], {}
+                    n, size, ids, found, numbers = n + 1, 0, [], [], Numbers()
         if ids:
             yield n, pa.concat_arrays(ids), *self.by_frequency(found, numbers)
 
@@ -182,7 +229,7 @@ class Blocks:
     def by_frequency(found: list[np.ndarray], numbers: dict[str, int]):
         sizes = np.bincount(np.concatenate(found), minlength=len(numbers))
         order = np.argsort(-sizes, kind="stable")
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         words = list(numbers)
         return [rank[f] for f in found], [words[i] for i in order]
