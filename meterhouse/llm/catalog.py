@@ -6,9 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterhouse.llm import bpe, decontaminate, fingerprints, pages, quality, secrets, simhash, substrings, toxicity
+from meterhouse.llm import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    licenses,
+    pages,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": licenses.query,
     "op2_secret_scan": secrets.query,
     "op3_byte_bpe": bpe.query,
     "op4_html_text": pages.query,
