@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterhouse.llm.tables import documents, fold_of
+from meterhouse.llm.tables import documents, fold_of, fresh
 from meterhouse.llm.training import fit_dense, labelled, sigmoid
 
 SAMPLE = 6_000
@@ -103,6 +103,13 @@ def score(text: Column, model: Model, spark: SparkSession) -> Column:
     return scored(text)
 
 
+def only_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with a score of at least ``CUTOFF``, with their columns."""
+    name = fresh(docs, "quality")
+    scored = docs.withColumn(name, score(F.col("text"), fit(docs, labels), docs.sparkSession))
+    return scored.where(F.col(name) >= CUTOFF).drop(name)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     docs = documents(spark, folder)

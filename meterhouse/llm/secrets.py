@@ -194,6 +194,15 @@ def scan(docs: DataFrame, text: str = "text", spans: str = "secret_spans") -> Da
     return docs.withColumn(spans, spans_of(F.col(text)))
 
 
+def redact(docs: DataFrame) -> DataFrame:
+    """``docs`` with every secret replaced in ``text``, and ``n_chars`` as long as what is left."""
+    out = docs.withColumn("text", redacted("text"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
+    return out
+
+
 def joined(spans: Column) -> Column:
     return F.concat_ws(
         ",",

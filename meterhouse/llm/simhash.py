@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterhouse.llm.components import components
-from meterhouse.llm.tables import documents
+from meterhouse.llm.tables import documents, fresh
 from meterhouse.session import write_and_read
 
 SEED = 42
@@ -65,8 +65,8 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and the signed 64-bit fingerprint of each row's whole text."""
+def fingerprints(docs: DataFrame, words: int = 4, *others: str) -> DataFrame:
+    """doc_id, the signed 64-bit fingerprint of each row's whole text, and ``others``."""
 
     @F.arrow_udf(T.LongType())
     def simhash(texts: pa.Array) -> pa.Array:
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
             [fingerprint(shingle_hashes(t.as_py() or "", words)) for t in texts], pa.int64()
         )
 
-    return docs.select("doc_id", simhash("text").alias("fp"))
+    return docs.select("doc_id", simhash("text").alias("fp"), *others)
 
 
 def bit_groups(sample: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -352,11 +352,11 @@ def links(prints: DataFrame, distance: int = 4, limit: int = BUCKET_LIMIT) -> Da
     )
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 4, distance: int = 4, limit: int = BUCKET_LIMIT
-) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, fp, component_id (least id reachable)."""
-    prints = write_and_read(fingerprints(docs, words), "prints")
+def groups_of(prints: DataFrame, distance: int = 4, limit: int = BUCKET_LIMIT) -> DataFrame:
+    """(fp, label, component_id) of each fingerprint in ``prints`` (doc_id, fp), a written table.
+
+    ``label`` is the least fingerprint of the component, ``component_id`` its least id.
+    """
     nodes = write_and_read(
         prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints"
     )
@@ -366,11 +366,47 @@ def near_duplicates(
     )
     labelled = write_and_read(labelled, "labelled")
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    mapped = write_and_read(
-        labelled.join(write_and_read(least, "least"), "label").select("fp", "component_id"),
-        "components",
+    joined = labelled.join(write_and_read(least, "least"), "label")
+    return write_and_read(joined.select("fp", "label", "component_id"), "components")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 4, distance: int = 4, limit: int = BUCKET_LIMIT
+) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, fp, component_id (least id reachable)."""
+    prints = write_and_read(fingerprints(docs, words), "prints")
+    groups = groups_of(prints, distance, limit).drop("label")
+    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, words: int = 4, distance: int = 4, limit: int = BUCKET_LIMIT
+) -> DataFrame:
+    """Rows of ``docs`` with the least id of their component, one row of each, with their columns.
+
+    Null ids come last; among rows of equal id the one with the least hash of all columns stays, and of
+    wholly equal rows one.
+    """
+    row_hash = fresh(docs, "row")
+    hashed = docs.withColumn(row_hash, F.xxhash64(*[docs[c] for c in docs.columns]))
+    keyed = hashed.select("doc_id", "text", F.col(row_hash).alias("hash"))
+    prints = write_and_read(fingerprints(keyed, words, "hash"), "prints")
+    groups = groups_of(prints, distance, limit).select("fp", "label")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash"))
+    counted = write_and_read(
+        prints.join(groups, "fp")
+        .groupBy("label", "doc_id", "hash")
+        .agg(F.count("*").alias("copies")),
+        "rows",
+    )
+    chosen = write_and_read(
+        counted.groupBy("label").agg(first.alias("first")).select("label", "first.*"), "chosen"
     )
-    return prints.join(mapped, "fp").select("doc_id", "fp", "component_id")
+    same = [hashed["doc_id"].eqNullSafe(chosen["doc_id"]), hashed[row_hash] == chosen["hash"]]
+    kept = hashed.join(chosen, same, "left_semi")
+    if not counted.where("copies > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", row_hash])
+    return kept.drop(row_hash)
 
 
 def hex_of(fp: str):

@@ -30,7 +30,8 @@ def labelled(
         .limit(limit)
     )
     texts = (
-        docs.where(F.length("text") <= LONGEST)
+        docs.select("doc_id", "text")
+        .where(F.length("text") <= LONGEST)
         .join(F.broadcast(chosen), "doc_id")  # ``limit`` ids
         .groupBy("doc_id", "low")
         .agg(F.max("text").alias("text"))
