@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs at line ends, long ones further at sentence ends and after ``LONGEST``
-characters. A paragraph's digest is 48 bits of hash and a 16-bit checksum of them. The fingerprint adds
+A text is cut into paragraphs at line ends, long ones further at the first sentence end after ``SHORTEST``
+characters, or after twice as many. A paragraph's digest is 48 bits of hash and a 16-bit checksum of them. The fingerprint adds
 every distinct digest to one cell in each of three rows of cells: a count and an exclusive or. The cells of
 two versions are subtracted; a cell left with one digest, known by count, place and checksum, gives that
 digest away, which is then taken out of its other cells, and so on until all cells are empty. The digests
@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from meterhouse.llm.tables import documents
 from meterhouse.session import write_and_read
 
-LONGEST = 200  # characters
-PARAGRAPH = rf"[^\n.!?]{{1,{LONGEST}}}[.!?]*|[.!?]+"
+SHORTEST = 100  # characters
+PARAGRAPH = rf"[^\n]{{1,{SHORTEST}}}[^\n.!?]{{0,{SHORTEST}}}[.!?]*"
 ROW_BITS = 4
 ROW = 1 << ROW_BITS  # cells
 ROWS = 3
-SHARD_KEYS = 16  # digests of both versions that a shard should have at the first retry
+SHARD_KEYS = 24  # digests of both versions that a shard should have at the first retry
+LEAST_EMPTY = 4  # cells; in 48 cells, as many as 40 digests leave empty
 ROUNDS = 24
 LOW = (1 << 48) - 1
 
@@ -62,10 +63,24 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(paragraphs, digest))
 
 
-def place(key: Column, row: Column | int) -> Column:
-    """The cell of a digest within a row of cells."""
-    shift = F.call_function("shiftrightunsigned", key, row * F.lit(ROW_BITS))
-    return shift.bitwiseAND(F.lit(ROW - 1).cast("long"))
+def spots(shifts_bits: list[tuple[int, int]]) -> Column:
+    """(mask, want) of all values of ``bits`` bits from each ``shift`` on, as a constant."""
+    rows = [
+        F.struct(
+            F.lit((1 << bits) - 1 << shift).cast("long").alias("mask"),
+            F.lit(value << shift).cast("long").alias("want"),
+        )
+        for shift, bits in shifts_bits
+        for value in range(1 << bits)
+    ]
+    return F.array(*rows)
+
+
+def at_spot(key: Column, spot: Column) -> Column:
+    return key.bitwiseAND(spot["mask"]) == spot["want"]
+
+
+CELLS = [(row * ROW_BITS, ROW_BITS) for row in range(ROWS)]
 
 
 def cell(count: Column, mixed: Column) -> Column:
@@ -73,19 +88,28 @@ def cell(count: Column, mixed: Column) -> Column:
 
 
 def sketch(keys: Column) -> Column:
-    """The cells of ``keys``, row after row."""
-
-    def cells(row: int) -> Column:
-        return F.transform(
-            numbers(ROW),
-            lambda at: F.aggregate(
-                F.filter(keys, lambda k: place(k, F.lit(row)) == at),
-                cell(F.lit(0), F.lit(0).cast("long")),
-                lambda c, k: cell(c["n"] + 1, c["x"].bitwiseXOR(k)),
-            ),
+    """The cells of ``keys``, row after row; a row's keys are dealt in two steps."""
+    half = ROW_BITS // 2
+
+    def contents(mine: Column) -> Column:
+        mixed = F.aggregate(mine, F.lit(0).cast("long"), lambda x, k: x.bitwiseXOR(k))
+        return cell(F.size(mine), mixed)
+
+    def cells(shift: int) -> Column:
+        return F.flatten(
+            F.transform(
+                spots([(shift + half, ROW_BITS - half)]),
+                lambda high: bound(
+                    F.filter(keys, lambda k: at_spot(k, high)),
+                    lambda some: F.transform(
+                        spots([(shift, half)]),
+                        lambda low: bound(F.filter(some, lambda k: at_spot(k, low)), contents),
+                    ),
+                ),
+            )
         )
 
-    return F.concat(*[cells(row) for row in range(ROWS)])
+    return F.concat(*[cells(shift) for shift, _ in CELLS])
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -97,30 +121,31 @@ def subtract(left: Column, right: Column) -> Column:
 def peel(cells: Column) -> Column:
     """The number of digests that differ, from subtracted cells; null if some cannot be recovered."""
 
-    def holds_one(c: Column, i: Column) -> Column:
+    every = spots(CELLS)
+
+    def holds_one(c: Column) -> Column:
         low = c["x"].bitwiseAND(F.lit(LOW))
-        return (
-            (F.abs(c["n"]) == 1)
-            & (place(c["x"], F.shiftright(i, ROW_BITS)) == i.bitwiseAND(F.lit(ROW - 1)))
-            & (with_checksum(low) == c["x"])
+        return (F.abs(c["n"]) == 1) & (with_checksum(low) == c["x"])
+
+    def single(cells: Column) -> Column:
+        """Cells that hold one digest, at its place; others are null."""
+        return F.zip_with(
+            cells, every, lambda c, spot: F.when(holds_one(c) & at_spot(c["x"], spot), c)
         )
 
     def without(cells: Column, found: Column) -> Column:
-        return F.transform(
+        return F.zip_with(
             cells,
-            lambda c, i: F.aggregate(
-                F.filter(
-                    found,
-                    lambda p: place(p["x"], F.shiftright(i, ROW_BITS))
-                    == i.bitwiseAND(F.lit(ROW - 1)),
-                ),
+            every,
+            lambda c, spot: F.aggregate(
+                F.filter(found, lambda p: at_spot(p["x"], spot)),
                 c,
                 lambda left, p: cell(left["n"] - p["n"], left["x"].bitwiseXOR(p["x"])),
             ),
         )
 
     def step(s: Column) -> Column:
-        found = F.array_distinct(F.filter(s["cells"], holds_one))
+        found = F.array_distinct(F.filter(single(s["cells"]), lambda c: c.isNotNull()))
         return bound(
             found,
             lambda f: F.struct(
@@ -143,30 +168,36 @@ def peel(cells: Column) -> Column:
 
 def shards(keys: Column, bits: Column) -> Column:
     """``keys`` dealt to 2^bits shards, in two steps."""
-    first = F.floor((bits + 1) / 2).cast("int")
-    second = bits - first
-    start = ROWS * ROW_BITS
-
-    def part(keys: Column, shift: Column, bits: Column, at: Column) -> Column:
-        mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-        return F.filter(
-            keys,
-            lambda k: F.call_function("shiftrightunsigned", k, shift).bitwiseAND(mask) == at,
-        )
 
-    def all_of(bits: Column) -> Column:
-        return F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), bits) - 1)
+    def power(n: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), n)
 
-    return F.flatten(
-        F.transform(
-            all_of(first),
-            lambda a: bound(
-                part(keys, F.lit(start), first, a),
-                lambda some: F.transform(
-                    all_of(second), lambda b: part(some, F.lit(start) + first, second, b)
+    def dealt(some: Column, step: Column, use: Callable[[Column], Column]) -> Column:
+        """``use`` of each part of ``some``; step: (size, unit) of the number that deals them."""
+        return F.transform(
+            F.sequence(F.lit(0).cast("long"), step["size"] - 1),
+            lambda at: bound(
+                F.struct(
+                    ((step["size"] - 1) * step["unit"]).alias("mask"),
+                    (at * step["unit"]).alias("want"),
                 ),
+                lambda spot: bound(F.filter(some, lambda k: at_spot(k, spot)), use),
             ),
         )
+
+    first = F.floor((bits + 1) / 2).cast("int")
+    unit = 1 << ROWS * ROW_BITS
+    steps = F.struct(
+        F.struct(power(first).alias("size"), F.lit(unit).cast("long").alias("unit")).alias("first"),
+        F.struct(
+            power(bits - first).alias("size"), (power(first) * F.lit(unit)).alias("unit")
+        ).alias("second"),
+    )
+    return bound(
+        steps,
+        lambda step: F.flatten(
+            dealt(keys, step["first"], lambda some: dealt(some, step["second"], lambda part: part))
+        ),
     )
 
 
@@ -184,8 +215,13 @@ def difference(
         )
         return F.aggregate(peeled, F.lit(0), lambda total, n: total + n)
 
+    def unless_full(cells: Column) -> Column:
+        """With hardly a cell empty there is no hope, and larger cells are tried at once."""
+        empty = F.filter(cells, lambda c: (c["n"] == 0) & (c["x"] == 0))
+        return F.when(F.size(empty) >= LEAST_EMPTY, peel(cells))
+
     return F.coalesce(
-        peel(subtract(left_cells, right_cells)),
+        bound(subtract(left_cells, right_cells), unless_full),
         retry(0),
         retry(2),
         retry(4),
@@ -263,26 +299,28 @@ def versions(docs: DataFrame) -> DataFrame:
     if not counted.where("n > 1").isEmpty():
         named = named.dropDuplicates(["doc_id", "hash"])
     links = write_and_read(with_next(counted.drop("n")), "links")
-    full = named.withColumn("keys", digests(F.col("text")))
-    before = full.withColumnsRenamed(
-        {"doc_id": "next_id", "hash": "next_hash", "keys": "next_keys"}
-    )
-    same_next = [
-        before["next_id"].eqNullSafe(links["next_id"]), before["next_hash"] == links["next_hash"]
-    ]
-    starts = before.join(links, same_next).select(
-        "doc_id", "hash", "need", "next_keys",
+    # Digests come after the shuffle of the texts and no column is renamed before it, so the two joins
+    # share that shuffle.
+    links = links.withColumnsRenamed({"doc_id": "own_id", "hash": "own_hash"})
+    to_next = [named["doc_id"].eqNullSafe(links["next_id"]), named["hash"] == links["next_hash"]]
+    starts = named.join(links, to_next).select(
+        "own_id", "own_hash", "need",
+        digests(F.col("text")).alias("next_keys"),
         F.substring(F.col("text"), F.lit(1), F.col("need")).alias("start"),
     )
-    same = [full["doc_id"].eqNullSafe(starts["doc_id"]), full["hash"] == starts["hash"]]
-    kept = F.substring(full["text"], F.lit(1), F.length(full["text"]) - F.col("need"))
-    return full.join(starts, same).select(
-        full["doc_id"],
-        F.length(full["text"]).cast("long").alias("n_chars"),
-        F.concat(kept, "start").alias("edited"),
-        "keys",
+    to_own = [named["doc_id"].eqNullSafe(starts["own_id"]), named["hash"] == starts["own_hash"]]
+    kept = F.substring(named["text"], F.lit(1), F.length(named["text"]) - F.col("need"))
+    joined = named.join(starts, to_own).select(
+        named["doc_id"], named["text"], F.concat(kept, "start").alias("edited"), "next_keys"
+    )
+    return joined.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        "edited",
+        digests(F.col("text")).alias("keys"),
+        digests(F.col("edited")).alias("edited_keys"),
         "next_keys",
-    ).withColumn("edited_keys", digests(F.col("edited")))
+    )
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
