@@ -71,14 +71,24 @@ def trace_length(trace: Column) -> Column:
 
 
 def mask_text(text: Column) -> Column:
-    """Keep the shape of a text, not its letters and digits."""
-    return F.mask(text, F.lit("X"), F.lit("x"), F.lit("n"))
+    """Keep the shape of a text: capitals become X, all other letters and their marks x, digits n."""
+    small = F.regexp_replace(text, r"[\p{L}\p{M}&&[^\p{Lu}\p{Lt}]]", "x")
+    return F.regexp_replace(F.regexp_replace(small, r"[\p{Lu}\p{Lt}]", "X"), r"\p{N}", "n")
 
 
 def mask_ip(ip: Column) -> Column:
-    """Drop the host part of an address."""
-    return F.regexp_replace(ip, r"\.[0-9]+$", ".0")
+    """Drop the host part of an address: an IPv4's last number, all but three groups of an IPv6.
+
+    What is neither is masked as text.
+    """
+    prefix = F.regexp_extract(ip, r"^[0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4}){0,2}(?=:)", 0)
+    return (
+        F.when(ip.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.regexp_replace(ip, r"\.[0-9]+$", ".0"))
+        .when(ip.rlike(r"^[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(%.*)?$"), F.concat(prefix, F.lit("::")))
+        .otherwise(mask_text(ip))
+    )
 
 
-def pseudonym(text: Column) -> Column:
-    return F.sha2(text, 256)
+def pseudonym(text: Column, key: str) -> Column:
+    """A keyed hash: without the caller's secret key, guesses at the text cannot be tried."""
+    return F.sha2(F.concat(F.lit(key), F.sha2(F.concat(F.lit(key), text), 256)), 256)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhouse.operators.history import END, START
@@ -22,9 +22,12 @@ def as_of_join(
 ) -> DataFrame:
     """Left join of events with the one version valid at ``ts``; NULLs where there is none.
 
+    A NULL key never matches. Where versions overlap, the last to start holds until it ends or the next
+    starts; of versions that start together, the last to end. Both ways below keep to that.
+
     A history of few versions is fetched, which proves its size, and broadcast; the events stay
     where they are. A longer one is merged with the events in time order, which touches every row
-    once however many versions a key has. Versions of a key never overlap, so no event doubles.
+    once however many versions a key has.
     """
     history = history.select(*keys, *columns, START, END)
     few = history.limit(broadcast_versions + 1).toArrow()
@@ -34,11 +37,22 @@ def as_of_join(
     return as_of_merge(events, history, keys, ts, columns, hot_rows)
 
 
+def _version_order(columns: list[str], inside: str = "") -> list[Column]:
+    """Versions by start, then end, open ones last; ``inside`` names the struct that holds them."""
+    start = [] if inside else [F.col(START)]
+    of = f"{inside}." if inside else ""
+    return [*start, F.col(f"{of}{END}").asc_nulls_last(), *[F.col(f"{of}{c}") for c in columns]]
+
+
 def as_of_broadcast(
     events: DataFrame, history: DataFrame, keys: list[str], ts: str, columns: list[str]
 ) -> DataFrame:
     """Hash join on the keys with the interval as a residual condition; no shuffle of the events."""
-    lookup = history.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *columns, START, END)
+    window = Window.partitionBy(*keys).orderBy(*_version_order(columns))
+    next_start = F.lead(START).over(window)
+    history = history.withColumn("_next", next_start).where(f"_next IS NULL OR _next > {START}")
+    end = F.least(END, "_next")  # the one that is not NULL, if only one is
+    lookup = history.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *columns, START, end.alias(END))
     match = (F.col(START) <= F.col(ts)) & (F.col(END).isNull() | (F.col(ts) < F.col(END)))
     for k in keys:
         match = match & (F.col(k) == F.col(f"_k_{k}"))
@@ -77,22 +91,25 @@ def as_of_merge(
 
     upto = (Window.unboundedPreceding, Window.currentRow)
     part = keys if hot is None else [*keys, SLICE]
-    in_order = Window.partitionBy(*part).orderBy("_at", "_kind").rowsBetween(*upto)
+    order = ["_at", "_kind", *_version_order(columns, "_v")]
+    in_order = Window.partitionBy(*part).orderBy(*order).rowsBetween(*upto)
     found = F.last("_v", ignorenulls=True).over(in_order)
     merged = both.withColumn("_found", found).where("_kind = 1")
     if hot is not None:
         before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        ends = [F.col(f"_v.{END}").isNull(), F.col(f"_v.{END}"), *[F.col(f"_v.{c}") for c in columns]]
+        last = F.struct("_at", *[e.alias(f"e{i}") for i, e in enumerate(ends)])
         # one row per slice of a hot key
         lasts = (
-            both.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+            hot.only(both)
             .groupBy(*keys, SLICE)
-            .agg(F.max_by("_v", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
+            .agg(F.max_by("_v", F.when(F.col("_kind") == 0, last)).alias("_last"))
             .select(*keys, SLICE, F.last("_last", ignorenulls=True).over(before).alias("_earlier"))
         )
-        merged = merged.join(F.broadcast(lasts), [*keys, SLICE], "left").withColumn(
-            "_found", F.coalesce("_found", "_earlier")
-        )
+        merged = hot.attach(merged, lasts).withColumn("_found", F.coalesce("_found", "_earlier"))
     valid = F.col("_found")[END].isNull() | (F.col("_at") < F.col("_found")[END])
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
     return merged.select(
         "_e.*", *[F.when(valid, F.col("_found")[c]).alias(c) for c in columns]
     )

@@ -65,11 +65,16 @@ def update_plans(
 ) -> tuple[DataFrame, DataFrame]:
     """New limits for active plans; a command that changes nothing reports the plan inactive.
 
-    "Nothing" is relative to the command before it on the same plan, or to the table.
+    A limit that is not positive breaks the plan's constraint and refuses its command; a NULL limit is
+    legal. "Nothing" is relative to the last legal command before it on the same plan, or to the table.
     """
     limit = {} if hot_rows is None else {"min_rows": hot_rows}
-    hot = hot_keys(commands, ["plan_id"], "cmd_seq", **limit)
-    rows = with_slice(commands, ["plan_id"], "cmd_seq", hot)
+    legal = F.lit(True)
+    for c in LIMITS:
+        legal = legal & F.coalesce(F.col(c) > 0, F.lit(True))
+    applied = commands.where(legal)
+    hot = hot_keys(applied, ["plan_id"], "cmd_seq", **limit)
+    rows = with_slice(applied, ["plan_id"], "cmd_seq", hot)
     wanted = F.struct(*LIMITS)
     rows = neighbour(rows, ["plan_id"], ["cmd_seq"], wanted, "_before", hot, back=True)
     base = plans.select("plan_id", "is_active", F.struct(*LIMITS).alias("_base"))
@@ -78,8 +83,10 @@ def update_plans(
     changes = F.coalesce("is_active", F.lit(False)) & ~wanted.eqNullSafe(before)
     statuses = known.select(
         "cmd_seq", F.when(changes, STATUS_OK).otherwise(STATUS_INACTIVE).alias("status")
+    ).unionByName(
+        commands.where(~legal).select("cmd_seq", F.lit("limit_not_positive").alias("status"))
     )
-    last = commands.groupBy("plan_id").agg(F.max_by(wanted, "cmd_seq").alias("_last"))
+    last = applied.groupBy("plan_id").agg(F.max_by(wanted, "cmd_seq").alias("_last"))
     apply = F.col("is_active") & F.col("_last").isNotNull()
     table = plans.join(last, "plan_id", "left").select(
         *[
@@ -215,6 +222,7 @@ def update_users(
 ) -> tuple[DataFrame, DataFrame]:
     """Name, plan and budget of active users; both budgets restart, spending is forgotten.
 
+    NULL names and budgets break the table's constraints and are refused.
     A name is refused if another user holds it, or an earlier command of another user claims it.
     A name given up in a batch is free from the next batch on.
     """
@@ -229,7 +237,8 @@ def update_users(
     valid = (
         F.coalesce("_active", F.lit(False))
         & F.coalesce("_plan", F.lit(False))
-        & (F.col("budget") > 0)
+        & F.col("user_name").isNotNull()
+        & F.coalesce(F.col("budget") > 0, F.lit(False))
         & (F.col("_holder").isNull() | (F.col("_holder") == F.col("user_id")))
     )
     claims = (
@@ -241,6 +250,8 @@ def update_users(
         "status",
         F.when(~F.coalesce("_active", F.lit(False)), "no_effect")
         .when(F.col("_plan").isNull(), "unknown_plan")
+        .when(F.col("user_name").isNull(), "null_name")
+        .when(F.col("budget").isNull(), "null_budget")
         .when(F.col("budget") <= 0, "budget_not_positive")
         .when(~valid | (F.col("_claimant") != F.col("user_id")), "duplicate_name")
         .otherwise(STATUS_OK),
@@ -269,20 +280,88 @@ def update_users(
     return table, judged.select("cmd_seq", "status")
 
 
+BUDGETS = ["token_budget", "remaining_budget"]
+
+
 def add_budget(users: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Raises both budgets of active users; commands of one user add up before the join."""
-    raised = commands.groupBy("user_id").agg(F.sum("tokens").alias("_added"))
-    joined = users.join(raised, "user_id", "left")
-    added = F.when(F.col("is_active"), F.coalesce("_added", F.lit(0))).otherwise(0)
+    """Adds ``tokens`` to both budgets of active users, which keep their types.
+
+    A command is refused if it has no tokens, or if a budget would not stay positive or would leave the
+    range of its type; the ones after it go on from where it found the budgets. Commands of a user that
+    can only succeed add up before the join. Those of a user for whom one might be refused are folded in
+    their order, as a chain of that user alone.
+    """
+    most = {t: F.lit(n) for t, n in (("int", 2**31 - 1), ("bigint", 2**63 - 1))}
+    types = dict(users.dtypes)
+    active = users.where("is_active").select("user_id", *BUDGETS)
+    named = commands.where(F.col("tokens").isNotNull()).withColumn("tokens", F.col("tokens").cast("long"))
+    rows = named.select("cmd_seq", "user_id", "tokens").join(active, "user_id")
+    sums = rows.groupBy("user_id", *BUDGETS).agg(
+        F.sum(F.col("tokens").cast("decimal(38,0)")).alias("_sum"), F.min("tokens").alias("_low")
+    )
+    doubtful = F.col("_low") <= 0
+    for c in BUDGETS:
+        doubtful = doubtful | (F.col(c) + F.col("_sum") > most[types[c]])
+    chains = rows.join(sums.where(doubtful).select("user_id"), "user_id", "left_semi")
+    folded = chains.groupBy("user_id", *BUDGETS).agg(
+        F.array_sort(F.collect_list(F.struct("cmd_seq", "tokens"))).alias("_commands")
+    )
+
+    def fits(state: Column, tokens: Column) -> Column:
+        ok = F.lit(True)
+        for c in BUDGETS:
+            after = state[c].cast("decimal(38,0)") + tokens
+            ok = ok & (after > 0) & (after <= most[types[c]])
+        return ok
+
+    def apply(state: Column, command: Column) -> Column:
+        ok = fits(state, command["tokens"])
+        return F.struct(
+            *[(state[c] + F.when(ok, command["tokens"]).otherwise(0)).alias(c) for c in BUDGETS],
+            F.when(ok, F.array_append(state["done"], command["cmd_seq"]))
+            .otherwise(state["done"])
+            .alias("done"),
+        )
+
+    seq_type = commands.schema["cmd_seq"].dataType.simpleString()
+    start = F.struct(
+        *[F.col(c).cast("long").alias(c) for c in BUDGETS],
+        F.array().cast(f"array<{seq_type}>").alias("done"),
+    )
+    ends = folded.select("user_id", F.aggregate("_commands", start, apply).alias("_end"))
+    ends = write_and_read(ends, "budgets")
+    sure = sums.where(~doubtful).select("user_id", "_sum")
+    joined = users.join(sure, "user_id", "left").join(
+        ends.select("user_id", F.struct(*[F.col("_end")[c].alias(c) for c in BUDGETS]).alias("_end")),
+        "user_id",
+        "left",
+    )
     table = joined.select(
         *[
-            (F.col(c) + added).alias(c) if c in ("token_budget", "remaining_budget") else F.col(c)
+            F.coalesce(F.col("_end")[c], F.col(c) + F.coalesce("_sum", F.lit(0)))
+            .cast(types[c])
+            .alias(c)
+            if c in BUDGETS
+            else F.col(c)
             for c in users.columns
         ]
     )
-    active = users.where("is_active").select("user_id", F.lit(True).alias("_active"))
-    statuses = commands.join(active, "user_id", "left").select(
-        "cmd_seq", F.when(F.col("_active"), STATUS_OK).otherwise("no_effect").alias("status")
+    done = ends.select("user_id", F.explode("_end.done").alias("cmd_seq")).withColumn(
+        "_done", F.lit(True)
+    )
+    in_chain = ends.select("user_id", F.lit(True).alias("_chain"))
+    statuses = (
+        commands.join(active.select("user_id", F.lit(True).alias("_active")), "user_id", "left")
+        .join(in_chain, "user_id", "left")
+        .join(done, ["user_id", "cmd_seq"], "left")
+        .select(
+            "cmd_seq",
+            F.when(F.col("_active").isNull(), "no_effect")
+            .when(F.col("tokens").isNull(), "null_tokens")
+            .when(F.col("_chain") & F.col("_done").isNull(), "budget_not_positive_or_too_large")
+            .otherwise(STATUS_OK)
+            .alias("status"),
+        )
     )
     return table, statuses
 

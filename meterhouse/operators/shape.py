@@ -146,16 +146,27 @@ def drop_shadow_rows(df: DataFrame, rule: str = "conversation") -> DataFrame:
     return df.where(rules[rule])
 
 
-MASKS = {"text": mask_text, "ip": mask_ip, "hash": pseudonym}
+MASKS = {"text": mask_text, "ip": mask_ip}
 
 # The columns that hold personal data.
 PERSONAL_COLUMNS = {"user_message": "text", "llm_response": "text", "client_ip": "ip"}
 
 
-def mask_columns(df: DataFrame, policy: dict[str, str] | None = None) -> DataFrame:
-    """Applies a masking kind (``text``, ``ip``, ``hash``) to each named column that is present."""
+def mask_columns(
+    df: DataFrame, policy: dict[str, str] | None = None, key: str | None = None
+) -> DataFrame:
+    """Applies a masking kind (``text``, ``ip``, ``hash``) to each named column that is present.
+
+    ``hash`` needs the caller's secret ``key``.
+    """
     policy = PERSONAL_COLUMNS if policy is None else policy
-    masked = {c: MASKS[kind](F.col(c)) for c, kind in policy.items() if c in df.columns}
+    if key is None and "hash" in policy.values():
+        raise ValueError("a hash needs a key")
+    masked = {
+        c: pseudonym(F.col(c), key) if kind == "hash" else MASKS[kind](F.col(c))
+        for c, kind in policy.items()
+        if c in df.columns
+    }
     return df.withColumns(masked) if masked else df
 
 

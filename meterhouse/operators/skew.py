@@ -7,58 +7,87 @@ last row of each slice crosses to its neighbour. The result is the same for any
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhouse.session import write_and_read
 
-HOT_ROWS = 1_000_000  # rows one task may sort for a single key
-MAX_HOT_KEYS = 1_000  # a hot key holds over 1/1000 of the rows, so there are fewer than that
-SLICES = 256
+HOT_ROWS = 1_000_000  # rows one task may sort for a single key, however many there are in all
+LEAST_SLICES = 16
 BLOCK = 16
+SMALL = 1_000_000  # bounds of hot keys that are sent to every task; more of them are joined
 
 SLICE = "_slice"
 
 
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, small: bool = False
+) -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the right keys are dropped."""
+    other = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    joined = left.join(F.broadcast(other) if small else other, match, how)
+    return joined.drop(*[f"_k_{k}" for k in keys])
+
+
+@dataclass
+class HotKeys:
+    """Keys too large for one task, as a written table (keys, ``_bounds``), and whether it is small."""
+
+    bounds: DataFrame
+    keys: list[str]
+    small: bool
+
+    def only(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` with a hot key."""
+        return null_safe_join(df, self.bounds.select(*self.keys), self.keys, "left_semi", self.small)
+
+    def attach(self, df: DataFrame, extra: DataFrame) -> DataFrame:
+        """Left join of ``df`` with one row for each slice of a hot key."""
+        return null_safe_join(df, extra, [*self.keys, SLICE], "left", self.small)
+
+
 def hot_keys(
-    df: DataFrame, keys: list[str], order: str, min_rows: int = HOT_ROWS, slices: int = SLICES
-) -> DataFrame | None:
-    """Keys too large for one task, with the slice bounds of each; None if there are none.
+    df: DataFrame, keys: list[str], order: str, min_rows: int = HOT_ROWS, slices: int | None = None
+) -> HotKeys | None:
+    """Keys of more than ``min_rows`` rows, NULL keys included, with their slice bounds; or None.
 
-    Fewer than ``MAX_HOT_KEYS`` keys can pass the threshold, which is what makes the result safe to
-    broadcast. Small inputs are settled by a row count, which parquet answers from its footers.
+    A slice has about ``min_rows`` rows: the largest key decides how many slices a hot key is cut
+    into, unless ``slices`` does. Runs a count at once, then one for each key and, if there are hot
+    keys, one for their quantiles, and writes these down.
     """
-    total = df.count()
-    if total <= min_rows:
+    if df.count() <= min_rows:
         return None
-    threshold = max(min_rows, total // MAX_HOT_KEYS)
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > threshold)
-    hot = counts.select(*keys).collect()
-    if not hot:
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > min_rows)
+    hot = write_and_read(counts, "hot-counts")
+    number, largest = hot.agg(F.count("*"), F.max("_n")).first()
+    if not number:
         return None
-    spark = df.sparkSession
-    schema = df.select(*keys).schema
-    hot_df = F.broadcast(spark.createDataFrame(hot, schema))
+    slices = slices or max(LEAST_SLICES, -(-largest // min_rows))
     cuts = [i / slices for i in range(1, slices)]
+    small = number * slices <= SMALL
     bounds = (
-        df.join(hot_df, keys, "left_semi")
+        null_safe_join(df, hot.select(*keys), keys, "left_semi", small)
         .groupBy(*keys)
-        .agg(F.percentile_approx(order, cuts).alias("_bounds"))
+        .agg(F.percentile_approx(order, cuts, max(10_000, 10 * slices)).alias("_bounds"))
     )
-    rows = bounds.collect()
-    return spark.createDataFrame(rows, bounds.schema)
+    return HotKeys(write_and_read(bounds, "hot-keys"), keys, small)
 
 
-def with_slice(df: DataFrame, keys: list[str], order: str, hot: DataFrame | None) -> DataFrame:
+def with_slice(df: DataFrame, keys: list[str], order: str, hot: HotKeys | None) -> DataFrame:
     """Adds ``_slice``, a number that never falls along ``order`` within a key; 0 for other keys."""
     if hot is None:
         return df.withColumn(SLICE, F.lit(0))
     # the number of bounds below a row: first by every BLOCK-th bound, then within that block
     coarse = F.filter("_bounds", lambda b, i: (i + 1) % BLOCK == 0)
-    lookup = F.broadcast(hot.withColumn("_coarse", coarse))
+    lookup = hot.bounds.withColumn("_coarse", coarse)
     block = F.slice("_bounds", F.col("_block") * BLOCK + 1, BLOCK - 1)
     return (
-        df.join(lookup, keys, "left")
+        null_safe_join(df, lookup, keys, "left", hot.small)
         .withColumn("_block", F.size(F.filter("_coarse", lambda b: b < F.col(order))))
         .withColumn(
             SLICE,
@@ -76,7 +105,7 @@ def neighbour(
     order: list[str],
     value: Column,
     out: str,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
     back: bool = False,
 ) -> DataFrame:
     """``lead`` (or ``lag`` with ``back``) of ``value`` within ``keys`` along ``order``.
@@ -91,16 +120,16 @@ def neighbour(
     window = Window.partitionBy(*keys, SLICE).orderBy(*order)
     edge = F.max_by if back else F.min_by
     edges = (
-        df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+        hot.only(df)
         .groupBy(*keys, SLICE)
         .agg(edge(F.struct(value.alias("v")), F.struct(*order)).alias("_edge"))
     )
     across = Window.partitionBy(*keys).orderBy(SLICE)
-    # fewer than MAX_HOT_KEYS * SLICES rows
+    # one row for each slice of a hot key
     crossing = edges.select(*keys, SLICE, step("_edge").over(across).alias("_edge"))
+    here = df.withColumn("_here", step(F.struct(value.alias("v"))).over(window))
     return (
-        df.withColumn("_here", step(F.struct(value.alias("v"))).over(window))
-        .join(F.broadcast(crossing), [*keys, SLICE], "left")
+        hot.attach(here, crossing)
         .withColumn(out, F.coalesce("_here", "_edge")["v"])
         .drop("_here", "_edge")
     )
@@ -112,7 +141,7 @@ def running_sum(
     order: list[str],
     value: Column,
     out: str,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of a key up to each row; frame as for ``neighbour``."""
     upto = (Window.unboundedPreceding, Window.currentRow)
@@ -122,16 +151,15 @@ def running_sum(
 
     window = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(*upto)
     totals = (
-        df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+        hot.only(df)
         .groupBy(*keys, SLICE)
         .agg(F.sum(value).alias("_total"))
     )
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    # fewer than MAX_HOT_KEYS * SLICES rows
+    # one row for each slice of a hot key
     offsets = totals.select(*keys, SLICE, F.sum("_total").over(before).alias("_before"))
     return (
-        df.withColumn("_here", F.sum(value).over(window))
-        .join(F.broadcast(offsets), [*keys, SLICE], "left")
+        hot.attach(df.withColumn("_here", F.sum(value).over(window)), offsets)
         .withColumn(out, F.col("_here") + F.coalesce("_before", F.lit(0)))
         .drop("_here", "_before")
     )

@@ -70,12 +70,14 @@ def _(t: Tables) -> DataFrame:
 
 
 def limit_orders(t: Tables) -> DataFrame:
-    """Limit updates from the orders, on seven plan ids of which two do not exist."""
+    """Limit updates from the orders, on seven plan ids of which two do not exist; some are illegal."""
     key = F.col("o_orderkey")
     return t.raw("orders").select(
         key.alias("cmd_seq"),
         (key % 7).cast("int").alias("plan_id"),
-        (F.floor(F.col("o_totalprice") / 100000) + 60).cast("int").alias("hourly_token_limit"),
+        F.when(key % 17 == 0, F.lit(-5))
+        .otherwise((F.floor(F.col("o_totalprice") / 100000) + 60).cast("int"))
+        .alias("hourly_token_limit"),
         F.lit(500).alias("daily_token_limit"),
         F.lit(5000).alias("monthly_token_limit"),
     )
@@ -83,7 +85,8 @@ def limit_orders(t: Tables) -> DataFrame:
 
 LIMIT_ORDERS_SQL = """
   select o_orderkey as cmd_seq, cast(o_orderkey%7 as int) as plan_id,
-    cast(floor(o_totalprice/100000) + 60 as int) as hl from orders"""
+    case when o_orderkey%17 = 0 then -5 else cast(floor(o_totalprice/100000) + 60 as int) end as hl
+  from orders"""
 
 
 @query(
@@ -98,7 +101,7 @@ LIMIT_ORDERS_SQL = """
               case when is_active and l.hl is not null then 5000 else monthly_token_limit end
                 as monthly_token_limit, p.is_active
             from plans p left join (select plan_id, arg_max(hl, cmd_seq) as hl
-                                    from ({LIMIT_ORDERS_SQL}) o group by plan_id) l
+                                    from ({LIMIT_ORDERS_SQL}) o where hl > 0 group by plan_id) l
               on l.plan_id = p.plan_id""",
     ),
 )
@@ -117,7 +120,10 @@ def _(t: Tables) -> DataFrame:
                 coalesce(lag(o.hl) over (partition by o.plan_id order by cmd_seq) <> o.hl,
                          p.hourly_token_limit <> o.hl or p.daily_token_limit <> 500
                          or p.monthly_token_limit <> 5000) as changed
-              from ({LIMIT_ORDERS_SQL}) o left join plans p on p.plan_id = o.plan_id) x""",
+              from (select * from ({LIMIT_ORDERS_SQL}) where hl > 0) o
+                left join plans p on p.plan_id = o.plan_id) x
+            union all
+            select cmd_seq, 'limit_not_positive' from ({LIMIT_ORDERS_SQL}) where hl <= 0""",
     ),
 )
 def _(t: Tables) -> DataFrame:
@@ -170,14 +176,12 @@ def _(t: Tables) -> DataFrame:
 @query(
     "dim4_plans_left",
     """select p_partkey as plan_id from part
-       where p_partkey%3 <> 0 or p_partkey in (select l_partkey from lineitem
-         where l_quantity >= 49)""",
+       where p_partkey%3 <> 0 or p_partkey in (select l_partkey from lineitem)""",
 )
 def _(t: Tables) -> DataFrame:
     table = t.raw("part").select(F.col("p_partkey").alias("plan_id"))
     wanted = table.select(F.col("plan_id").alias("cmd_seq"), "plan_id").where("plan_id % 3 = 0")
-    held = t.raw("lineitem").where("l_quantity >= 49")
-    return dims.hard_delete(table, wanted, "plan_id", [(held, "l_partkey")])[0]
+    return dims.hard_delete(table, wanted, "plan_id", [(t.raw("lineitem"), "l_partkey")])[0]
 
 
 @query(
@@ -273,20 +277,22 @@ def _(t: Tables) -> DataFrame:
 
 
 def rename_orders(t: Tables) -> DataFrame:
-    """User updates from the orders: many per user, some onto unknown plans."""
+    """User updates from the orders: many per user, some onto unknown plans or without a value."""
     key = F.col("o_orderkey")
     return t.raw("orders").select(
         key.alias("cmd_seq"),
         F.col("o_custkey").cast("int").alias("user_id"),
-        F.concat(F.lit("user "), key).alias("user_name"),
+        F.when(key % 17 != 0, F.concat(F.lit("user "), key)).alias("user_name"),
         (key % 7).cast("int").alias("plan_id"),
-        (F.floor(F.col("o_totalprice") / 1000) - 20).cast("int").alias("budget"),
+        F.when(key % 19 != 0, (F.floor(F.col("o_totalprice") / 1000) - 20).cast("int")).alias("budget"),
     )
 
 
 RENAME_SQL = """
-  select o_orderkey as cmd_seq, cast(o_custkey as int) as user_id, 'user ' || o_orderkey as name,
-    cast(o_orderkey%7 as int) as plan, cast(floor(o_totalprice/1000) - 20 as int) as budget
+  select o_orderkey as cmd_seq, cast(o_custkey as int) as user_id,
+    case when o_orderkey%17 <> 0 then 'user ' || o_orderkey end as name,
+    cast(o_orderkey%7 as int) as plan,
+    case when o_orderkey%19 <> 0 then cast(floor(o_totalprice/1000) - 20 as int) end as budget
   from orders"""
 
 
@@ -301,7 +307,8 @@ RENAME_SQL = """
             from users u left join (
               select user_id, arg_max(name, cmd_seq) as name, arg_max(plan, cmd_seq) as plan,
                 arg_max(budget, cmd_seq) as budget
-              from ({RENAME_SQL}) o where plan <= 4 and budget > 0 group by user_id) r
+              from ({RENAME_SQL}) o where plan <= 4 and budget > 0 and name is not null
+              group by user_id) r
               on r.user_id = u.user_id and u.is_active""",
     ),
 )
@@ -314,7 +321,8 @@ def _(t: Tables) -> DataFrame:
     using(
         ["users"],
         f"""select o.cmd_seq, case when not u.is_active then 'no_effect'
-              when o.plan > 4 then 'unknown_plan' when o.budget <= 0 then 'budget_not_positive'
+              when o.plan > 4 then 'unknown_plan' when o.name is null then 'null_name'
+              when o.budget is null then 'null_budget' when o.budget <= 0 then 'budget_not_positive'
               else 'success' end as status
             from ({RENAME_SQL}) o join users u on u.user_id = o.user_id""",
     ),
@@ -323,27 +331,55 @@ def _(t: Tables) -> DataFrame:
     return dims.update_users(t.users(), t.plans(), rename_orders(t))[1]
 
 
+TOP_UPS_SQL = """select o_orderkey as cmd_seq, o_custkey as user_id,
+    case when o_orderkey % 11 = 0 then null when o_orderkey % 13 = 0 then -1000000000
+         else cast(floor(o_totalprice/1000) as bigint) end as tokens from orders"""
+
+
+def top_ups(t: Tables) -> DataFrame:
+    """An order adds its price in thousands; some have none, some would take more than there is."""
+    seq = F.col("o_orderkey")
+    return t.raw("orders").select(
+        seq.alias("cmd_seq"),
+        F.col("o_custkey").cast("int").alias("user_id"),
+        F.when(seq % 11 == 0, F.lit(None))
+        .when(seq % 13 == 0, F.lit(-1_000_000_000))
+        .otherwise(F.floor(F.col("o_totalprice") / 1000))
+        .alias("tokens"),
+    )
+
+
 @query(
     "dim8_add_budget",
     using(
         ["users"],
-        """select * replace (
-             cast(token_budget + case when is_active then coalesce(added, 0) else 0 end as bigint)
+        f"""select * replace (
+             cast(token_budget + case when is_active then coalesce(added, 0) else 0 end as int)
                as token_budget,
              cast(remaining_budget + case when is_active then coalesce(added, 0) else 0 end
-               as bigint) as remaining_budget)
+               as int) as remaining_budget)
            from (select u.*, o.added from users u left join (
-             select o_custkey, sum(cast(floor(o_totalprice/1000) as bigint)) as added from orders
-             group by o_custkey) o on o.o_custkey = u.user_id) x""",
+             select user_id, sum(tokens) as added from ({TOP_UPS_SQL}) c where tokens > 0
+             group by user_id) o on o.user_id = u.user_id) x""",
     ).replace("select * replace (", "select * exclude (added) replace ("),
 )
 def _(t: Tables) -> DataFrame:
-    top_ups = t.raw("orders").select(
-        F.col("o_orderkey").alias("cmd_seq"),
-        F.col("o_custkey").cast("int").alias("user_id"),
-        F.floor(F.col("o_totalprice") / 1000).alias("tokens"),
-    )
-    return dims.add_budget(t.users(), top_ups)[0]
+    return dims.add_budget(t.users(), top_ups(t))[0]
+
+
+@query(
+    "dim8_add_budget_status",
+    using(
+        ["users"],
+        f"""select c.cmd_seq, case when u.user_id is null then 'no_effect'
+              when tokens is null then 'null_tokens'
+              when tokens < 0 then 'budget_not_positive_or_too_large' else 'success' end as status
+            from ({TOP_UPS_SQL}) c left join (select * from users where is_active) u
+              on u.user_id = c.user_id""",
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    return dims.add_budget(t.users(), top_ups(t))[1]
 
 
 @query(

@@ -25,7 +25,11 @@ def silver_queries(t: Tables) -> DataFrame:
 
 
 def silver_requests(t: Tables) -> DataFrame:
-    rows = shape.silver_request_events(t.request_log())
+    """Requests with an id, each once although every fifth was delivered twice."""
+    log = t.request_log()
+    sent = log.unionByName(log.where("log_id % 5 = 0"))
+    once = dedup_batch(sent.where("request_id IS NOT NULL"), ["request_id"], ["log_id"])
+    rows = shape.silver_request_events(once)
     return quality.expect_or_drop(rows, {"has_request_id": "request_id IS NOT NULL"})
 
 
@@ -139,22 +143,27 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "prj9_mask_columns",
-    """select conv_id, turn,
-         regexp_replace(regexp_replace(regexp_replace(text, '\\p{Lu}', 'X', 'g'),
-           '\\p{Ll}', 'x', 'g'), '\\p{Nd}', 'n', 'g') as user_message,
-         '10.0.' || turn || '.0' as client_ip,
-         sha256(text) as fingerprint
-       from conversations""",
+    """select doc_id,
+         regexp_replace(regexp_replace(regexp_replace(text, '[\\p{Ll}\\p{Lm}\\p{Lo}\\p{M}]', 'x', 'g'),
+           '[\\p{Lu}\\p{Lt}]', 'X', 'g'), '\\p{N}', 'n', 'g') as user_message,
+         case doc_id % 3 when 0 then '10.0.' || doc_id % 200 || '.0'
+           when 1 then '2001:db8:' || doc_id % 9000 || '::' else '2001:db8::' end as client_ip,
+         sha256('key' || sha256('key' || text)) as fingerprint
+       from documents""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = t.raw("conversations").select(
-        "conv_id",
-        "turn",
+    """Texts in four languages, and addresses of both kinds."""
+    doc = F.col("doc_id")
+    rows = t.raw("documents").select(
+        "doc_id",
         F.col("text").alias("user_message"),
-        F.concat(F.lit("10.0."), F.col("turn"), F.lit("."), F.col("conv_id")).alias("client_ip"),
+        F.when(doc % 3 == 0, F.concat(F.lit("10.0."), doc % 200, F.lit("."), doc % 250))
+        .when(doc % 3 == 1, F.concat(F.lit("2001:db8:"), doc % 9000, F.lit(":1:2:3:4:5")))
+        .otherwise(F.concat(F.lit("2001:db8::"), doc % 9000))
+        .alias("client_ip"),
         F.col("text").alias("fingerprint"),
     )
-    return shape.mask_columns(rows, {**shape.PERSONAL_COLUMNS, "fingerprint": "hash"})
+    return shape.mask_columns(rows, {**shape.PERSONAL_COLUMNS, "fingerprint": "hash"}, "key")
 
 
 @query(

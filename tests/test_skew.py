@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from meterhouse.operators import asof, history, marts
+from meterhouse.operators import asof, history, marts, skew
+from meterhouse.operators.history import END, START
 from meterhouse.operators.skew import hot_keys, neighbour, number_rows, running_sum, with_slice
 
 
@@ -24,7 +25,7 @@ def skewed(spark):
 @pytest.fixture(scope="module")
 def hot(skewed):
     found = hot_keys(skewed, ["k"], "t", min_rows=500, slices=16)
-    assert [r["k"] for r in found.collect()] == [1]
+    assert [r["k"] for r in found.bounds.collect()] == [1]
     return found
 
 
@@ -115,3 +116,37 @@ def test_burndown_of_hot_keys(skewed, rows_of):
     versions = history.scd2_from_changes(changes, ["k"])
     plain = marts.budget_burndown(versions, ["k"])
     assert rows_of(plain) == rows_of(marts.budget_burndown(versions, ["k"], hot_rows=200))
+
+
+def test_null_keys_are_sliced_like_others(spark):
+    rows = [(None if i % 3 else 1, i, i % 7) for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, at int, v int")
+    hot = skew.hot_keys(df, ["k"], "at", min_rows=100)
+    sliced = skew.with_slice(df, ["k"], "at", hot)
+    assert sliced.groupBy("k").agg(F.countDistinct(skew.SLICE).alias("n")).where("n < 8").isEmpty()
+    plain = skew.neighbour(df, ["k"], ["at"], F.col("v"), "next")
+    mine = skew.neighbour(sliced, ["k"], ["at"], F.col("v"), "next", hot).drop(skew.SLICE)
+    assert sorted(mine.collect(), key=str) == sorted(plain.collect(), key=str)
+    sums = skew.running_sum(sliced, ["k"], ["at"], F.col("v"), "sum", hot).drop(skew.SLICE)
+    plain = skew.running_sum(df, ["k"], ["at"], F.col("v"), "sum")
+    assert sorted(sums.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_both_as_of_ways_agree_on_dirty_versions(spark, hot_rows):
+    versions = [
+        (1, 0, 10, "a"), (1, 2, 4, "b"), (1, 6, None, "c"), (1, 6, 8, "d"), (None, 0, None, "n"),
+        (2, 5, 5, "e"), (2, 1, None, "f"), (2, 1, None, "g"),
+    ]
+    history = spark.createDataFrame(versions, f"k int, {START} int, {END} int, v string")
+    events = spark.createDataFrame(
+        [(k, t) for k in (1, 2, 3, None) for t in range(-1, 13)], "k int, ts int"
+    )
+    small = asof.as_of_broadcast(events, history, ["k"], "ts", ["v"])
+    large = asof.as_of_merge(events, history, ["k"], "ts", ["v"], hot_rows)
+    found = sorted(small.collect(), key=str)
+    assert found == sorted(large.select(*small.columns).collect(), key=str)
+    assert len(found) == 56 and all(r.v is None for r in found if r.k is None)
+    assert {r.ts: r.v for r in found if r.k == 1}[5] is None
+    assert {r.ts: r.v for r in found if r.k == 1}[9] == "c"
+    assert {r.ts: r.v for r in found if r.k == 2}[4] == "g"
