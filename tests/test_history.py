@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from meterhouse.functions.schemas import USER_IMAGE, envelope, names_of
 from meterhouse.operators import history, quality, shape
+from meterhouse.streaming.events import CheckpointMismatch
 from meterhouse.streaming.history import ChangeHistory
 
 CHANGES = "k int, v string, _op string, _ts_ms bigint, _part int, _offset bigint"
@@ -214,3 +215,22 @@ def test_change_history_survives_replayed_batches(spark, tmp_path, replays):
             store.apply(spark.createDataFrame(part, CHANGES), n)
     full = history.scd2_from_changes(spark.createDataFrame(everything, CHANGES), ["k"])
     assert versions(store.latest(spark)) == versions(full)
+    touched = spark.read.parquet(f"{tmp_path}/store/history/_version=2").select("k").distinct().collect()
+    assert [r.k for r in touched] == [2]  # nothing of the other buckets is written again
+    with pytest.raises(RuntimeError):
+        store.apply(spark.createDataFrame(part, CHANGES), 4)
+
+
+def test_change_history_refuses_a_store_without_its_checkpoint(spark, tmp_path):
+    store = ChangeHistory(str(tmp_path / "store"), ["k"])
+    store.apply(feed(spark, [(1, "a", "c", 10)]), 0)
+    with pytest.raises(CheckpointMismatch):
+        store.run(spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/store/schema"), str(tmp_path / "new"))
+
+
+def test_change_history_of_an_empty_batch(spark, tmp_path):
+    store = ChangeHistory(str(tmp_path / "store"), ["k"])
+    store.apply(feed(spark, [(1, "a", "c", 10)]).limit(0), 0)
+    assert store.latest(spark).count() == 0
+    store.apply(feed(spark, [(1, "a", "c", 10)]), 1)
+    assert versions(store.latest(spark)) == [(1, "a", 10, None)]
