@@ -235,7 +235,7 @@ def _scan_pieces(
         cut.select("user_id", "_part").distinct().withColumn("_piece", F.row_number().over(place))
     )
     placed = cut.join(pieces, ["user_id", "_part"]).drop("_part")
-    path = write_and_read(placed, "replay-pieces")
+    path = write_and_read(placed, "replay-pieces", ["_piece"])  # a round reads its own piece only
     per_round = path.groupBy("_piece").agg(F.count("*").alias("n")).orderBy("_piece").collect()
 
     state = state.join(pieces.select("user_id").distinct(), "user_id", "left_semi")

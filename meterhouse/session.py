@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 SHUFFLE_CONF = "spark.sql.shuffle.partitions"
 DEFAULT_SHUFFLE_PARTITIONS = "200"
@@ -27,7 +31,14 @@ STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def build_session(app: str = "meterhouse", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the library's defaults; ``conf`` keys use ``__`` for dots."""
+    """A session with the library's defaults; ``conf`` keys use ``__`` for dots.
+
+    Python processes that the driver starts, local tasks and stateful streams among them, find the
+    package from any working folder; executors elsewhere need it installed, or ``ship_package``.
+    """
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if str(PACKAGE.parent) not in known:
+        os.environ["PYTHONPATH"] = os.pathsep.join([str(PACKAGE.parent), *filter(None, known)])
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -52,6 +63,18 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, for clusters on which it is not installed.
+
+    Needed once for a session, before the first operator that runs Python in tasks.
+    """
+    target = Path(tempfile.mkdtemp(prefix="meterhouse-ship-")) / "meterhouse.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(PACKAGE.rglob("*.py")):
+            archive.write(source, source.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -73,8 +96,8 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def write_and_read(df, purpose: str):
+def write_and_read(df, purpose: str, partition_by: list[str] | None = None):
     """Cut the lineage of ``df`` with a written table, so a lost executor costs one stage only."""
     path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by or []).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
