@@ -30,8 +30,8 @@ from meterhouse.llm.training import fit_dense, labelled, sigmoid
 
 SAMPLE = 6_000
 DICTIONARY_TEXTS = 300
-PIECE = 800  # bytes
-LEVEL = 3
+PIECE = 4_000  # bytes
+LEVEL = 6
 CHUNK = 65_536  # bytes
 FOLDS, HELD_OUT, CUTOFF = 3, 1, 0.5
 
