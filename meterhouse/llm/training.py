@@ -61,7 +61,7 @@ def fit_sparse(
     ridge: float = 1e-4, steps: int = 600,
 ) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic regression on entries (row, col, value)."""
-    if len(y) == 0 or y.min() == y.max():
+    if len(col) == 0 or y.min() == y.max():
         return np.zeros(width), prior(y)
     n, u = len(y), np.ones(width)
     top = 1.0
