@@ -1,0 +1,95 @@
+"""Near copies of the pipeline, against brute force on planted ones."""
+
+import random
+
+import numpy as np
+from conftest import SMALL
+
+import corpus_pipeline
+from meterhouse.llm import near_copies, simhash
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def like(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def kept_by_brute_force(rows):
+    """Least id of each component of similarity 0.8 or more, and the number of similar unequal pairs."""
+    sets = [shingles(t) for _, t in rows]
+    root, pairs = list(range(len(rows))), 0
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if like(sets[i], sets[j]) >= 0.8:
+                pairs += sets[i] != sets[j]
+                root[top(i)] = top(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[top(i)] = min(doc_id, least.get(top(i), doc_id))
+    return sorted(least.values()), pairs
+
+
+def edited(rnd, text, edits):
+    words = text.split()
+    for at in rnd.sample(range(len(words)), edits):
+        words[at] = f"edit{rnd.getrandbits(30)}"
+    return " ".join(words)
+
+
+def planted():
+    rnd = random.Random(8)
+    texts = []
+    for size in (8, 14, 30, 60, 200, 1500):  # copies of short and long texts, about the limit
+        for _ in range(6):
+            base = " ".join(f"w{rnd.randrange(3000)}" for _ in range(size))
+            texts += [base, base.upper(), base + " end", edited(rnd, base, max(1, size // 50))]
+            texts += [edited(rnd, base, max(1, size // 42)), edited(rnd, base, max(1, size // 30))]
+    centre = " ".join(f"c{rnd.randrange(9000)}" for _ in range(200))
+    star = [edited(rnd, centre, 4) for _ in range(60)]  # alike to the centre, hardly to each other
+    frame = " ".join(f"f{rnd.randrange(9000)}" for _ in range(90))
+    framed = [frame + " " + " ".join(f"w{rnd.randrange(3000)}" for _ in range(30)) for _ in range(40)]
+    texts += star + [centre] + framed + ["", None, "one two", "One  two", "a b c d e f g h", "a b c d e f g h i"]
+    rnd.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_planted_near_copies_go(spark):
+    rows = planted()
+    expected, pairs = kept_by_brute_force(rows)
+    assert pairs > 150
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == expected
+
+
+def test_recall_of_candidates_at_the_limit():
+    rnd = np.random.default_rng(3)
+    missed = 0
+    for _ in range(3_000):
+        shared, a = np.split(rnd.integers(0, 2**64, 180, np.uint64), [160])  # 160 of 200
+        other = rnd.integers(0, 2**64, 20, np.uint64)
+        x, y = (near_copies.keys_of(np.concatenate((shared, z))) for z in (a, other))
+        missed += not (x == y).any()
+    assert missed == 0
+
+
+def test_near_copies_of_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    expected, _ = kept_by_brute_force([tuple(r) for r in docs.collect()])
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == expected
+
+
+def test_op9_keeps_its_settings():
+    assert simhash.near_duplicates.__defaults__[:2] == (4, 4)
