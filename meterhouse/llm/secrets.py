@@ -5,7 +5,8 @@ decodes to what it claims to be:
 
 * ``key``: base64 or hex, armoured or bare, whose bytes are a private key: DER with nested lengths
   that add up (PKCS#1, PKCS#8 plain or encrypted, SEC1), an OpenSSH key with its length-prefixed
-  fields, or an armoured key inside the decoded text;
+  fields, or an armoured key inside the decoded text. Lines of a bare key may have any length, be
+  indented and be broken as in a JSON string; it ends with the line in which its lengths are met;
 * ``jwt``: a signed token whose header and payload decode to JSON objects and whose header names
   its algorithm.
 
@@ -19,6 +20,7 @@ import base64
 import binascii
 import json
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +50,22 @@ JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){32,}(?![0-9A-Za-z])")
+# Wrapped keys: where one may begin, its lines, and what stands between them.
+BREAK = re.compile(r"[ \t]*(?:\r?\n|\r|(?:\\+r)?\\+n)[ \t]*")
+LITERAL_BREAK = re.compile(r"(?:\\+r)?\\+n|\\+r")
+BLANK_LINE = re.compile(r"\n[ \t]*\n")
+START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?=M[A-P][A-Za-z0-9+/_-]{2}|b3Bl|LS0t)")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+HEX_START = re.compile(
+    r"(?:(?<![0-9A-Za-z])|(?<=(?<![0-9A-Za-z])0[xX])|(?<=\\[nrt]))"
+    r"(?=30[0-9a-fA-F]{6}|6[fF]7065|2[dD]2[dD]2[dD])"
+)
+HEX_LINE = re.compile(r"[0-9a-fA-F]+(?![0-9A-Za-z])")
+PADDING = re.compile(r"={0,2}")
+ARMOUR_BYTES = re.compile(
+    rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----.*?-----END \1-----\s*", re.DOTALL
+)
+Decoder = Callable[[str], bytes | None]
 
 SEQUENCE, INTEGER, OCTETS, OBJECT_ID = 0x30, 0x02, 0x04, 0x06
 
@@ -121,10 +139,80 @@ def is_key(data: bytes | None) -> bool:
     return is_openssh_key(data) or (b"PRIVATE KEY-----" in data and b"-----BEGIN " in data)
 
 
+def openssh_length(data: bytes) -> int | None:
+    """Bytes up to the end of the private part of an OpenSSH key; None if ``data`` ends before."""
+    at, left, counted = len(b"openssh-key-v1\0"), 3, False
+    while left:  # cipher, key derivation, its options; then public keys and the private part
+        if at + 4 > len(data):
+            return None
+        at, left = at + 4 + int.from_bytes(data[at : at + 4], "big"), left - 1
+        if not left and not counted:
+            counted, left, at = True, int.from_bytes(data[at : at + 4], "big") + 1, at + 4
+    return at if at <= len(data) else None
+
+
+def der_length(head: bytes) -> int | None:
+    """Bytes of the DER key that begins with ``head``; None if none does."""
+    wide = head[1] & 0x7F if head[1] & 0x80 else 0
+    if wide > 4 or head[1] == 0x80 or head[2 + wide] not in (INTEGER, SEQUENCE):
+        return None
+    return 2 + wide + (int.from_bytes(head[2 : 2 + wide], "big") if wide else head[1])
+
+
+def wrapped_key(
+    text: str, start: int, line: re.Pattern, decode: Decoder, unit: int, width: int
+) -> int:
+    """End of the key whose lines begin at ``start``, -1 if none: where a line ends with its last byte.
+
+    ``unit`` characters hold ``width`` bytes.
+    """
+    lines, ends, count, at, size = [], [], 0, start, None
+    while m := line.match(text, at):
+        before = count
+        lines.append(m[0])
+        count, at = count + len(m[0]), m.end()
+        ends.append((count, at))
+        if before < 16 <= count:
+            head = decode("".join(lines)[:16]) or b"?"
+            if head[0] == SEQUENCE:
+                size = der_length(head)
+            if size is None and head[:3] not in (b"ope", b"---"):
+                return -1
+        if size is not None and count * width >= size * unit:
+            break
+        gap = BREAK.match(text, at)
+        if not gap:
+            break
+        at = gap.end()
+    if count < 16:
+        return -1
+    if size is None:
+        whole = "".join(lines)
+        data = decode(whole) or decode(whole[: count - count % unit]) or b""
+        armour = ARMOUR_BYTES.match(data)
+        size = armour.end() if armour else openssh_length(data)
+        if size is None:
+            return -1
+    for n, (count, at) in enumerate(ends):
+        if count * width >= size * unit - unit + 1 and count * width // unit >= size:
+            data = decode("".join(lines[: n + 1])) or b""
+            ok = not data[size:].strip() and is_key(data)
+            return PADDING.match(text, at).end() if ok else -1
+    return -1
+
+
+def plain_hex(text: str) -> bytes | None:
+    return bytes.fromhex(text) if len(text) % 2 == 0 else None
+
+
 def is_armoured_key(body: str) -> bool:
-    """The body between the lines of an armoured key, old encryption headers included."""
+    """The body between the lines of an armoured key, old encryption headers included.
+
+    Its line breaks may be written as in a JSON string.
+    """
+    body = LITERAL_BREAK.sub("\n", body)
     if "Proc-Type:" in body:
-        data = decode64(body.replace("\r", "").partition("\n\n")[2])
+        data = decode64("".join(BLANK_LINE.split(body.replace("\r", ""), maxsplit=1)[1:]))
         return bool(data) and len(data) % 8 == 0
     return is_key(decode64(body))
 
@@ -153,12 +241,21 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
             if is_armoured_key(m[2]):
                 found.append((m.start(), 3, m.end()))
                 armoured.append(m.span())
+    keys = list(armoured)
+    for first, *form in ((START, LINE, decode64, 4, 3), (HEX_START, HEX_LINE, plain_hex, 2, 1)):
+        for m in first.finditer(text):
+            if not any(a <= m.start() < b for a, b in keys):
+                end = wrapped_key(text, m.start(), *form)
+                if end >= 0:
+                    found.append((m.start(), 3, end))
+                    keys.append((m.start(), end))
     for m in RUN.finditer(text):
-        inside = any(a <= m.start() < b for a, b in armoured)
+        inside = any(a <= m.start() < b for a, b in keys)
         if not inside and is_key(decode64(m[0])):
             found.append((m.start(), 3, m.end()))
     for m in HEX_RUN.finditer(text):
-        if is_key(bytes.fromhex(m[0])):
+        inside = any(a <= m.start() < b for a, b in keys)
+        if not inside and is_key(bytes.fromhex(m[0])):
             found.append((m.start(), 3, m.end()))
     if "eyJ" in text:
         found += [(m.start(), 4, m.end()) for m in JWT.finditer(text) if is_jwt(m[0])]

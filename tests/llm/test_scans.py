@@ -195,3 +195,45 @@ def test_training_leaves_the_held_out_fold_alone(spark):
         .otherwise(F.col("toxic"))
     )
     assert labelled(docs, labels, "toxic", 4, 2, 500) == labelled(docs, flipped, "toxic", 4, 2, 500)
+
+
+P256 = der(0x30, der(2, b"\x01"), der(4, b"\x22" * 32), der(0xA0, b"\x06\x08" + b"\x2a" * 8), der(0xA1, b"\x03\x42" + b"\x01" * 66))
+SSH = b"openssh-key-v1\0" + b"".join(
+    [len(f).to_bytes(4, "big") + f for f in (b"none", b"none", b"")]
+    + [b"\0\0\0\1"] + [len(f).to_bytes(4, "big") + f for f in (b"p" * 51, b"q" * 136)]
+)
+
+
+def wrap(text, width, gap="\n"):
+    return gap.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("key", [PKCS1, PKCS8, SEC1, P256, SSH])
+@pytest.mark.parametrize("width", [20, 64, 76, 10_000])
+@pytest.mark.parametrize("gap", ["\n", "\r\n", "\n    ", "\\n", "\\r\\n"])
+def test_wrapped_keys_are_found_whole(key, width, gap):
+    for plain in (base64.b64encode(key).decode(), key.hex(), key.hex().upper()):
+        text = wrap(plain, width, gap)
+        for before, after in (("key: ", " there"), ('{"k":"', '"}'), ("", ""), ("see" + gap, gap + "word" + gap)):
+            spans = secrets.find_spans(before + text + after)
+            assert (len(before), "key", len(before) + len(text)) in spans
+    broken = bytearray(key)
+    at = 1 if key[1] < 128 else 3
+    broken[at if key[0] == 0x30 else 18] ^= 1
+    for plain in (base64.b64encode(broken).decode(), broken.hex()):
+        assert not any(k == "key" for _, k, _ in secrets.find_spans(wrap(plain, width, gap)))
+
+
+def test_keys_in_strings_and_after_0x():
+    body = wrap(base64.b64encode(PKCS8).decode(), 64, "\\n")
+    armour = f"-----BEGIN PRIVATE KEY-----\\n{body}\\n-----END PRIVATE KEY-----"
+    text = '{"private_key": "' + armour + '\\n"}'
+    assert (17, "key", 17 + len(armour)) in secrets.find_spans(text)
+    assert (4, "key", 4 + 2 * len(SEC1)) in secrets.find_spans(f"= 0x{SEC1.hex()};")
+    assert (4, "key", 4 + 2 * len(PKCS1) + 2 * len(PKCS1) // 64 - (2 * len(PKCS1) % 64 == 0)) in secrets.find_spans(
+        f"= 0x{wrap(PKCS1.hex(), 64)};"
+    )
+    lines = f"-----BEGIN PRIVATE KEY-----\n{wrap(base64.b64encode(PKCS8).decode(), 64)}\n-----END PRIVATE KEY-----\n"
+    twice = wrap(base64.b64encode(lines.encode()).decode(), 76, "\n  ")
+    assert secrets.find_spans(twice + "\nword") == [(0, "key", len(twice))]
+    assert secrets.find_spans("MIT\nMILAN\nMAP\nMIIE\n" * 200) == []
