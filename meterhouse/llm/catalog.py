@@ -12,6 +12,7 @@ from meterhouse.llm import (
     fingerprints,
     licenses,
     pages,
+    personal,
     quality,
     secrets,
     simhash,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": fingerprints.query,
     "op9_simhash": simhash.query,
     "op10_toxicity": toxicity.query,
+    "op11_personal_data": personal.query,
 }
 
 ORACLES: dict[str, str] = {
