@@ -11,6 +11,7 @@ from meterhouse.llm import (
     decontaminate,
     fingerprints,
     licenses,
+    merkle,
     pages,
     personal,
     quality,
@@ -32,9 +33,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.query,
     "op10_toxicity": toxicity.query,
     "op11_personal_data": personal.query,
+    "op13_merkle_manifest": merkle.query,
 }
 
 ORACLES: dict[str, str] = {
     "op6_substring_dedup": substrings.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
