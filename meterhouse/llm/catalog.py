@@ -12,6 +12,7 @@ from meterhouse.llm import (
     fingerprints,
     licenses,
     merkle,
+    negatives,
     pages,
     personal,
     quality,
@@ -33,11 +34,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.query,
     "op10_toxicity": toxicity.query,
     "op11_personal_data": personal.query,
+    "op12_hard_negatives": negatives.query,
     "op13_merkle_manifest": merkle.query,
 }
 
 ORACLES: dict[str, str] = {
     "op6_substring_dedup": substrings.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
