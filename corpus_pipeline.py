@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterhouse.llm import bpe, decontaminate, near_copies, quality, secrets
+from meterhouse.llm import bpe, decontaminate, quality, secrets, simhash
 from meterhouse.session import write_and_read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -23,8 +23,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each component of texts with a 5-word similarity of 0.8 or more."""
-    return near_copies.one_of_each(docs)
+    """The document of least id of each component: four words, four bits, as the operator has them."""
+    return simhash.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

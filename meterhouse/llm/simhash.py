@@ -392,14 +392,12 @@ def one_of_each(
     keyed = hashed.select("doc_id", "text", F.col(row_hash).alias("hash"))
     prints = write_and_read(fingerprints(keyed, words, "hash"), "prints")
     groups = groups_of(prints, distance, limit).select("fp", "label")
-    return least_rows(hashed, row_hash, prints.join(groups, "fp"))
-
-
-def least_rows(hashed: DataFrame, row_hash: str, labelled: DataFrame) -> DataFrame:
-    """The first row of each label of ``labelled`` (doc_id, hash, label), without ``row_hash``."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash"))
     counted = write_and_read(
-        labelled.groupBy("label", "doc_id", "hash").agg(F.count("*").alias("copies")), "rows"
+        prints.join(groups, "fp")
+        .groupBy("label", "doc_id", "hash")
+        .agg(F.count("*").alias("copies")),
+        "rows",
     )
     chosen = write_and_read(
         counted.groupBy("label").agg(first.alias("first")).select("label", "first.*"), "chosen"

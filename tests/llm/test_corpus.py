@@ -157,6 +157,14 @@ def test_near_duplicates_equal_brute_force(awkward):
     assert simhash.one_of_each(awkward.limit(0)).count() == 0
 
 
+def test_near_dedup_stage_keeps_one_of_each_component(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = sorted(docs.collect(), key=lambda r: r.doc_id)
+    roots = brute_components([plain_fingerprint(r.text) for r in rows], 4)
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(rows[root].doc_id for root in set(roots))
+
+
 def test_fingerprints(spark, awkward):
     rows = fingerprints.versions(awkward).collect()
     texts = {(r.doc_id, r.text or "") for r in awkward.collect()}
