@@ -5,9 +5,15 @@ Commands carry ``cmd_seq``, their order. Every function returns (new table, stat
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterhouse.operators.chains import LONG_ROWS, PIECE_ROWS, walk_chains
 from meterhouse.operators.gate import WINDOWS, init_usage
 from meterhouse.operators.quality import PLAN_CONSTRAINTS, QUERY_LOG_CONSTRAINTS, fill_defaults
 from meterhouse.operators.shape import with_missing_as_null
@@ -281,89 +287,127 @@ def update_users(
 
 
 BUDGETS = ["token_budget", "remaining_budget"]
-
-
-def add_budget(users: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFrame]:
+BUDGET_MOST = {"int": 2**31 - 1, "bigint": 2**63 - 1}
+
+
+def _refuse_top_ups(most: list[int], cmd_type: str):
+    """Walks over top-ups sorted by user and order; holds two budgets and one batch at a time."""
+    cmd_arrow = pa.int32() if cmd_type == "int" else pa.int64()
+
+    def fits(budgets: list, low: int, high: int) -> bool:
+        return all(b is None or (b + low > 0 and b + high <= m) for b, m in zip(budgets, most))
+
+    def raised(budgets: list, amount: int) -> list:
+        return [b if b is None else b + amount for b in budgets]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        user, budgets = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            users = batch.column("user_id").to_numpy()
+            tokens = batch.column("tokens").to_numpy()
+            ends = [*(np.flatnonzero(users[1:] != users[:-1]) + 1).tolist(), len(users)]
+            accepted, lo = np.ones(len(users), bool), 0
+            for hi in ends:
+                if user is None or users[lo] != user:
+                    user = users[lo]
+                    budgets = [batch.column(c)[lo].as_py() for c in BUDGETS]
+                amounts = tokens[lo:hi].tolist()
+                sums = list(accumulate(amounts))
+                if fits(budgets, min(sums), max(sums)):  # no command of the stretch can be refused
+                    budgets = raised(budgets, sums[-1])
+                else:
+                    for n, amount in enumerate(amounts, lo):
+                        if fits(budgets, amount, amount):
+                            budgets = raised(budgets, amount)
+                        else:
+                            accepted[n] = False
+                lo = hi
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("cmd_seq").cast(cmd_arrow),
+                    batch.column("user_id"),
+                    batch.column("tokens"),
+                    pa.array(accepted),
+                ],
+                ["cmd_seq", "user_id", "tokens", "accepted"],
+            )
+
+    return run
+
+
+def _accepted_sum() -> Column:
+    return F.sum(F.when(F.col("accepted"), F.col("tokens").cast("decimal(38,0)")).otherwise(0))
+
+
+def add_budget(
+    users: DataFrame, commands: DataFrame, long_rows: int = LONG_ROWS, piece_rows: int = PIECE_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """Adds ``tokens`` to both budgets of active users, which keep their types.
 
-    A command is refused if it has no tokens, or if a budget would not stay positive or would leave the
-    range of its type; the ones after it go on from where it found the budgets. Commands of a user that
-    can only succeed add up before the join. Those of a user for whom one might be refused are folded in
-    their order, as a chain of that user alone.
+    A command is refused if a budget would not stay positive or would leave the range of its type; the
+    ones after it go on from where it found the budgets. Commands of a user that can only succeed add
+    up before the join. Those of a user for whom one might be refused are a chain: they stay rows and
+    are walked in order with the two budgets carried along, in pieces of ``piece_rows`` where a user
+    has more than ``long_rows``. ``cmd_seq`` is unique. A NULL budget stays NULL and refuses nothing.
     """
-    most = {t: F.lit(n) for t, n in (("int", 2**31 - 1), ("bigint", 2**63 - 1))}
     types = dict(users.dtypes)
+    most = [BUDGET_MOST[types[c]] for c in BUDGETS]
     active = users.where("is_active").select("user_id", *BUDGETS)
-    named = commands.where(F.col("tokens").isNotNull()).withColumn("tokens", F.col("tokens").cast("long"))
-    rows = named.select("cmd_seq", "user_id", "tokens").join(active, "user_id")
-    sums = rows.groupBy("user_id", *BUDGETS).agg(
+    rows = (
+        commands.where(F.col("tokens").isNotNull())
+        .select("cmd_seq", "user_id", F.col("tokens").cast("long").alias("tokens"))
+        .join(active.select("user_id"), "user_id", "left_semi")
+    )
+    sums = rows.groupBy("user_id").agg(
         F.sum(F.col("tokens").cast("decimal(38,0)")).alias("_sum"), F.min("tokens").alias("_low")
     )
     doubtful = F.col("_low") <= 0
-    for c in BUDGETS:
-        doubtful = doubtful | (F.col(c) + F.col("_sum") > most[types[c]])
-    chains = rows.join(sums.where(doubtful).select("user_id"), "user_id", "left_semi")
-    folded = chains.groupBy("user_id", *BUDGETS).agg(
-        F.array_sort(F.collect_list(F.struct("cmd_seq", "tokens"))).alias("_commands")
+    for c, m in zip(BUDGETS, most):
+        doubtful = doubtful | F.coalesce(F.col(c) + F.col("_sum") > F.lit(m), F.lit(False))
+    judged = sums.join(active, "user_id").withColumn("_chain", doubtful)
+    judged = write_and_read(judged.select("user_id", "_sum", "_chain", *BUDGETS), "top-up-sums")
+    in_chain = judged.where("_chain").select("user_id", *[F.col(c).cast("long") for c in BUDGETS])
+    chained = write_and_read(rows.join(in_chain.select("user_id"), "user_id", "left_semi"), "top-ups")
+
+    def carry(state: DataFrame, done: DataFrame) -> DataFrame:
+        moved = done.groupBy("user_id").agg(_accepted_sum().alias("_more"))
+        after = [(F.col(c) + F.coalesce("_more", F.lit(0))).cast("long").alias(c) for c in BUDGETS]
+        return state.join(moved, "user_id", "left").select("user_id", *after)
+
+    seq_type, user_type = (dict(rows.dtypes)[c] for c in ("cmd_seq", "user_id"))
+    walked = walk_chains(
+        chained, in_chain, "user_id", ["cmd_seq"], _refuse_top_ups(most, seq_type),
+        f"cmd_seq {seq_type}, user_id {user_type}, tokens long, accepted boolean",
+        carry, long_rows, piece_rows,
     )
-
-    def fits(state: Column, tokens: Column) -> Column:
-        ok = F.lit(True)
-        for c in BUDGETS:
-            after = state[c].cast("decimal(38,0)") + tokens
-            ok = ok & (after > 0) & (after <= most[types[c]])
-        return ok
-
-    def apply(state: Column, command: Column) -> Column:
-        ok = fits(state, command["tokens"])
-        return F.struct(
-            *[(state[c] + F.when(ok, command["tokens"]).otherwise(0)).alias(c) for c in BUDGETS],
-            F.when(ok, F.array_append(state["done"], command["cmd_seq"]))
-            .otherwise(state["done"])
-            .alias("done"),
-        )
-
-    seq_type = commands.schema["cmd_seq"].dataType.simpleString()
-    start = F.struct(
-        *[F.col(c).cast("long").alias(c) for c in BUDGETS],
-        F.array().cast(f"array<{seq_type}>").alias("done"),
-    )
-    ends = folded.select("user_id", F.aggregate("_commands", start, apply).alias("_end"))
-    ends = write_and_read(ends, "budgets")
-    sure = sums.where(~doubtful).select("user_id", "_sum")
-    joined = users.join(sure, "user_id", "left").join(
-        ends.select("user_id", F.struct(*[F.col("_end")[c].alias(c) for c in BUDGETS]).alias("_end")),
-        "user_id",
-        "left",
+    added = (
+        judged.where("not _chain")
+        .select("user_id", "_sum")
+        .unionByName(walked.groupBy("user_id").agg(_accepted_sum().alias("_sum")))
     )
-    table = joined.select(
+    table = users.join(added, "user_id", "left").select(
         *[
-            F.coalesce(F.col("_end")[c], F.col(c) + F.coalesce("_sum", F.lit(0)))
-            .cast(types[c])
-            .alias(c)
-            if c in BUDGETS
-            else F.col(c)
+            (F.col(c) + F.coalesce("_sum", F.lit(0))).cast(types[c]).alias(c) if c in BUDGETS else F.col(c)
             for c in users.columns
         ]
     )
-    done = ends.select("user_id", F.explode("_end.done").alias("cmd_seq")).withColumn(
-        "_done", F.lit(True)
-    )
-    in_chain = ends.select("user_id", F.lit(True).alias("_chain"))
-    statuses = (
-        commands.join(active.select("user_id", F.lit(True).alias("_active")), "user_id", "left")
-        .join(in_chain, "user_id", "left")
-        .join(done, ["user_id", "cmd_seq"], "left")
+    known = active.select("user_id", F.lit(True).alias("_active"))
+    known = known.join(judged.select("user_id", "_chain"), "user_id", "left")
+    plain = (
+        commands.join(known, "user_id", "left")
+        .where(~(F.coalesce("_chain", F.lit(False)) & F.col("tokens").isNotNull()))
         .select(
             "cmd_seq",
             F.when(F.col("_active").isNull(), "no_effect")
             .when(F.col("tokens").isNull(), "null_tokens")
-            .when(F.col("_chain") & F.col("_done").isNull(), "budget_not_positive_or_too_large")
             .otherwise(STATUS_OK)
             .alias("status"),
         )
     )
-    return table, statuses
+    refused = F.when(F.col("accepted"), STATUS_OK).otherwise("budget_not_positive_or_too_large")
+    return table, plain.unionByName(walked.select("cmd_seq", refused.alias("status")))
 
 
 QUERY_LOG_OPTIONAL = {

@@ -1,7 +1,9 @@
 """The administration script's cases, step by step, and batch semantics of the commands."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterhouse.operators import dimensions as dims
@@ -195,3 +197,51 @@ def test_appended_rows_take_defaults(spark):
         (1, "llm_query", True, False, None),
         (2, "llm_query", True, False, None),
     ]
+
+
+def top_ups_by_hand(users, commands, most):
+    """(budgets of each user, status of each command), one command after the other."""
+    budgets = {u: [a, b] for u, _, _, a, b, active in users if active}
+    status = {}
+    for seq, user, tokens in sorted(commands):
+        if user not in budgets:
+            status[seq] = "no_effect"
+        elif tokens is None:
+            status[seq] = "null_tokens"
+        elif all(b is None or 0 < b + tokens <= most for b in budgets[user]):
+            budgets[user] = [b if b is None else b + tokens for b in budgets[user]]
+            status[seq] = "success"
+        else:
+            status[seq] = "budget_not_positive_or_too_large"
+    return budgets, status
+
+
+@pytest.mark.parametrize("limits", [{}, {"long_rows": 100, "piece_rows": 60}, {"long_rows": 0, "piece_rows": 25}])
+@pytest.mark.parametrize("kind, most", [("int", 2**31 - 1), ("bigint", 2**63 - 1)])
+def test_top_ups_equal_one_after_the_other(spark, limits, kind, most):
+    rng = random.Random(str(limits) + kind)
+    users = [(u, f"u{u}", 1, rng.choice([5, 1000, most - 50]), rng.choice([3, 900, most]), u % 7 != 0) for u in range(30)]
+    users.append((30, "none", 1, None, 40, True))
+    commands = []
+    for seq in range(1200):
+        user = 1 if seq % 3 == 0 else rng.choice([*range(33), None])  # one user has a third of them
+        tokens = rng.choice([None, 0, 1, 7, 60, 400, most // 3])
+        commands.append((seq, user, -tokens if tokens and user in (1, 4, 30) and rng.random() < 0.5 else tokens))
+    rng.shuffle(commands)
+    table, status = dims.add_budget(
+        spark.createDataFrame(users, USERS.replace("budget int", f"budget {kind}")),
+        spark.createDataFrame(commands, f"cmd_seq bigint, user_id int, tokens {kind}"),
+        **limits,
+    )
+    budgets, expected = top_ups_by_hand(users, [c for c in commands], most)
+    assert table.columns == [c.split()[0] for c in USERS.split(", ")]
+    assert dict(table.dtypes)["token_budget"] == kind
+    assert statuses(status) == expected and status.count() == len(commands)
+    found = {r["user_id"]: [r["token_budget"], r["remaining_budget"]] for r in table.collect()}
+    assert found == {u: budgets.get(u, [a, b]) for u, _, _, a, b, _ in users}
+
+
+def test_no_top_ups(spark):
+    users = spark.createDataFrame([(1, "a", 1, 10, 10, True)], USERS)
+    table, status = dims.add_budget(users, spark.createDataFrame([], "cmd_seq int, user_id int, tokens int"))
+    assert rows(table) == rows(users) and status.count() == 0
