@@ -146,50 +146,72 @@ def hard_delete(
     return table.join(removable, key, "left_anti"), statuses
 
 
+def _fold_moves(keys: tuple, moves: pa.Table) -> pa.Table:
+    """Where each old plan of a fold ends up: from the last move back, a move leads on from its new plan."""
+    ends: dict[int, int] = {}
+    for move in sorted(moves.to_pylist(), key=lambda m: m["_no"], reverse=True):
+        ends[move["old_plan"]] = ends.get(move["new_plan"], move["new_plan"])
+    table = {"_fold": [keys[0].as_py()] * len(ends), "old_plan": list(ends), "new_plan": list(ends.values())}
+    return pa.table(
+        {name: pa.array(table[name], moves.schema.field(name).type) for name in table}
+    )
+
+
+def _then(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Routes (_fold, old_plan, new_plan) of two folds, one after the other, by the fold they become."""
+    on = (F.col("_fold") == F.col("_next_fold")) & (F.col("new_plan") == F.col("_next_old"))
+    after = second.select(
+        F.col("_fold").alias("_next_fold"), F.col("old_plan").alias("_next_old"), F.col("new_plan").alias("_next")
+    )
+    led_on = first.join(after, on, "left").select(
+        "_fold", "old_plan", F.coalesce("_next", "new_plan").alias("new_plan")
+    )
+    return led_on.unionByName(second.join(first, ["_fold", "old_plan"], "left_anti"))
+
+
 def migrate_users(
     users: DataFrame, commands: DataFrame, plans: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Moves active users from ``old_plan`` to ``new_plan``, commands in order.
 
-    Only the distinct plan ids are sent through the commands, and the users joined to where their
-    plan ends up. Commands are folded ``MOVES_PER_FOLD`` at a time.
+    Commands are cut into folds of ``MOVES_PER_FOLD`` that become routes, one for each plan moved, all at
+    once; neighbouring folds' routes are then led on pair by pair, which takes as many rounds as halvings.
+    Users are joined to where their plan ends up.
     """
     targets = plans.select(F.col("plan_id").alias("new_plan"))
     legal = commands.join(targets, "new_plan", "left_semi").select("cmd_seq", "old_plan", "new_plan")
     rejected = commands.join(targets, "new_plan", "left_anti")
-    moves = number_rows(legal, ["cmd_seq"], "_no").withColumn(
-        "_fold", F.floor((F.col("_no") - 1) / MOVES_PER_FOLD)
+    statuses = legal.select("cmd_seq", F.lit(STATUS_OK).alias("status")).unionByName(
+        rejected.select("cmd_seq", F.lit("unknown_plan").alias("status"))
     )
-    folded = moves.groupBy("_fold").agg(
-        F.array_sort(F.collect_list(F.struct("cmd_seq", "old_plan", "new_plan"))).alias("_moves")
+    kind = dict(users.dtypes)["plan_id"]
+    numbered = number_rows(legal.where("old_plan is not null"), ["cmd_seq"], "_no")
+    moves = numbered.select(
+        F.floor((F.col("_no") - 1) / MOVES_PER_FOLD).cast("bigint").alias("_fold"),
+        "_no",
+        *[F.col(c).cast(kind).alias(c) for c in ("old_plan", "new_plan")],
     )
-    last_fold = moves.agg(F.max("_fold")).first()[0]
-    route = users.select("plan_id").distinct().withColumn("_to", F.col("plan_id"))
-    for fold in range(0 if last_fold is None else last_fold + 1):
-        step = F.aggregate(
-            "_moves",
-            F.col("_to"),
-            lambda at, m: F.when(m["old_plan"] == at, m["new_plan"]).otherwise(at),
-        )
-        # one row of moves for every plan id in use
-        route = (
-            route.withColumn("_fold", F.lit(fold).cast("bigint"))
-            .join(folded, "_fold")
-            .select("plan_id", step.alias("_to"))
-        )
-        if fold:
-            route = write_and_read(route, "plan-routes")
-    table = users.join(route, "plan_id", "left").select(
+    routes = moves.groupBy("_fold").applyInArrow(
+        _fold_moves, f"_fold bigint, old_plan {kind}, new_plan {kind}"
+    )
+    routes = write_and_read(routes, "plan-routes")
+    folds = routes.agg(F.max("_fold")).first()[0] or 0
+    while folds:
+        halved = F.shiftright("_fold", 1)
+        is_second = F.col("_fold").bitwiseAND(F.lit(1)) == 1
+        first = routes.where(~is_second).withColumn("_fold", halved)
+        second = routes.where(is_second).withColumn("_fold", halved)
+        routes = write_and_read(_then(first, second), "plan-routes")
+        folds >>= 1
+    ends = routes.select(F.col("old_plan").alias("plan_id"), F.col("new_plan").alias("_to"))
+    table = users.join(ends, "plan_id", "left").select(
         *[
-            F.when(F.col("is_active"), F.col("_to")).otherwise(F.col("plan_id")).alias(c)
+            F.when(F.col("is_active"), F.coalesce("_to", "plan_id")).otherwise(F.col("plan_id")).alias(c)
             if c == "plan_id"
             else F.col(c)
             for c in users.columns
         ]
     )
-    statuses = legal.select("cmd_seq", F.lit(STATUS_OK).alias("status")).unionByName(
-        rejected.select("cmd_seq", F.lit("unknown_plan").alias("status"))
-    )
     return table, statuses
 
 

@@ -245,3 +245,33 @@ def test_no_top_ups(spark):
     users = spark.createDataFrame([(1, "a", 1, 10, 10, True)], USERS)
     table, status = dims.add_budget(users, spark.createDataFrame([], "cmd_seq int, user_id int, tokens int"))
     assert rows(table) == rows(users) and status.count() == 0
+
+
+@pytest.mark.parametrize("fold", [1, 3, 7, 1000])
+def test_moves_in_folds_equal_one_after_the_other(spark, monkeypatch, fold):
+    monkeypatch.setattr(dims, "MOVES_PER_FOLD", fold)
+    rng = random.Random(fold)
+    plans = [(p, f"p{p}", 1, 1, 1, True) for p in range(8)]
+    users = [(u, f"u{u}", rng.randrange(9), 1, 1, u % 5 != 0) for u in range(60)]
+    moves = [(n, rng.choice([*range(9), None]), rng.choice([*range(9), None])) for n in range(29)]
+    at, status = {u: plan for u, _, plan, *_ in users}, {}
+    for n, old, new in moves:
+        status[n] = "success" if new in range(8) else "unknown_plan"
+        if new in range(8):
+            at |= {u: new for u, _, _, _, _, active in users if active and old == at[u]}
+    rng.shuffle(moves)
+    table, told = dims.migrate_users(
+        spark.createDataFrame(users, USERS),
+        spark.createDataFrame(moves, "cmd_seq bigint, old_plan int, new_plan int"),
+        spark.createDataFrame(plans, PLANS),
+    )
+    assert {r["user_id"]: r["plan_id"] for r in table.collect()} == at
+    assert statuses(told) == status
+
+
+def test_no_moves(spark):
+    users = spark.createDataFrame([(1, "a", 1, 10, 10, True)], USERS)
+    plans = spark.createDataFrame([(1, "p", 1, 1, 1, True)], PLANS)
+    none = spark.createDataFrame([], "cmd_seq bigint, old_plan int, new_plan int")
+    table, status = dims.migrate_users(users, none, plans)
+    assert rows(table) == rows(users) and status.count() == 0
