@@ -1,12 +1,20 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines, one for each block element with text. A line weighs its length, or nothing
-if it belongs to an element that is no part of an article (menus, headers, footers, sidebars, notices,
-adverts, forms, reader comments), if links make up most of it, or if the page marks its article and the
-line lies outside. Weights are summed over ``WINDOW`` lines. Text begins at a surge, where the sum rises
-to a share of its highest value, and ends at a dive, where it has fallen below that share again; weighty
-lines that touch a surge or dive, such as a headline, belong to the text. All weighty lines between the
-first surge and the last dive are kept whole.
+Markup is stripped to lines, one for each block element with text; elements that are no part of an
+article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments) are stripped like
+markup. A line weighs its length, or nothing if links make up most of it. Weights are summed over windows
+of ``WINDOW`` lines. Text begins at a surge, the first window whose sum reaches ``SHARE`` of the highest
+sum, and ends at a dive, the last such window; weighty lines that touch one, such as a headline, belong to
+the text. All weighty lines between the first surge and the last dive are kept whole.
+
+Names and class words only weigh in:
+
+* Where a page marks its article, by element or else by class, and the marked lines hold at least half of
+  the weight, the other lines weigh nothing and links inside count as text.
+* An element that its class, or being a form, a header or an aside, sets apart is stripped unless it
+  holds ``MOST`` of the page's weight in a window of lines or more, or half of it with the page's heading
+  or main element: then it is what the page is built in, and its name is disregarded. A wrapper of reader
+  comments needs the latter.
 
 Pages are read row by row, so nothing is shuffled. A null or empty page, and one without a weighty line,
 has the empty text. Null ids, repeated rows and further columns pass through. Unclosed, misnested and cut
@@ -26,7 +34,7 @@ from pyspark.sql import types as T
 
 WINDOW = 3  # lines
 SHARE = 0.1  # of the highest sum, at a surge or dive
-WITHIN_MARKED = 0.0  # the same where the page marks its article
+MOST = 0.8  # of a page's weight, in an element that is its frame whatever it is called
 LINKS = 0.5  # of a line's characters
 
 TOKEN = re.compile(
@@ -51,10 +59,12 @@ BLOCKS = set(
     "nav ol option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
 SKIPPED = set(
-    "head title nav footer aside form button select option dialog menu search object audio video "
-    "canvas map applet fieldset label input".split()
+    "head title nav footer button select option dialog menu search object audio video "
+    "canvas map applet label input".split()
 )
+DOUBTED = {"aside", "form", "fieldset", "header"}  # no part of an article unless they hold it
 MARKED = {"article", "main"}
+HEADING = {"h1", "main"}
 SELF_CLOSING = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -70,15 +80,28 @@ APART = set(
     "discussion responses feedback pagination pager login register search form skip dialog print "
     "toc rail outbrain taboola".split()
 )
+READERS = set(
+    "comment comments commentary disqus reply replies respond discussion responses feedback".split()
+)
 HEADERS = {"header", "head", "masthead"}
 CONTENT = set("article content entry story post main text body prose".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
+@dataclass
+class Wrapper:
+    """An element set apart by its name or class, and whether it holds readers' text or a heading."""
+
+    readers: bool
+    heading: bool
+
+
 @dataclass
 class Element:
     name: str
-    apart: bool  # it or an element around it is no part of an article
+    skipped: bool  # it or an element around it is never part of an article
+    apart: bool  # the same, wrappers included
+    wrappers: tuple[int, ...]  # numbers of the wrappers around it, its own included
     marked: bool  # it or an element around it is marked as the article
     likely: bool  # the same by its class or id only
     link: bool
@@ -88,12 +111,21 @@ class Element:
 class Line:
     text: str
     links: int
-    apart: bool
-    marked: bool
-    likely: bool
+    element: Element | None
+
+    @property
+    def apart(self) -> bool:
+        return self.element is not None and self.element.apart
 
+    @property
+    def mostly_links(self) -> bool:
+        return self.links > LINKS * len(self.text)
 
-def element_of(name: str, attributes: str, parent: Element | None) -> Element:
+
+def element_of(
+    name: str, attributes: str, parent: Element | None, wrappers: list[Wrapper], frames: set[int]
+) -> Element:
+    """The element within ``parent``; adds a wrapper if it is one. ``frames``: wrappers not set apart."""
     words, hidden = set(), False
     for m in ATTRIBUTE.finditer(attributes) if attributes.strip(" /") else ():
         key, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
@@ -103,27 +135,34 @@ def element_of(name: str, attributes: str, parent: Element | None) -> Element:
             hidden |= bool(HIDDEN.search(value))
         else:
             hidden |= value.lower() != "false"
-    within = parent is not None and (parent.marked or parent.likely)
     root = name in ("html", "body")
-    marked = (parent is not None and parent.marked) or name in MARKED
-    apart = not root and name not in MARKED and (
-        name in SKIPPED
-        or hidden
-        or bool(words & APART)
-        or (not within and (name == "header" or bool(words & HEADERS)))
-    )
-    likely = within or (not root and bool(words & CONTENT))
+    within = parent is not None and (parent.marked or parent.likely)
+    around = parent.wrappers if parent else ()
+    skipped = (parent is not None and parent.skipped) or (not root and (name in SKIPPED or hidden))
+    if name in HEADING:
+        for n in around:
+            wrappers[n].heading = True
+    if within:
+        doubted = name in DOUBTED - {"header"} or bool(words & APART)
+    else:
+        doubted = name in DOUBTED or bool(words & (APART | HEADERS))
+    if doubted and not root and name != "main":
+        readers = bool(words & READERS)
+        around = (*around, len(wrappers))
+        wrappers.append(Wrapper(readers, name in MARKED and not readers))
     return Element(
         name,
-        apart or (parent is not None and parent.apart),
-        marked,
-        likely,
+        skipped,
+        skipped or not frames.issuperset(around),
+        around,
+        (parent is not None and parent.marked) or name in MARKED,
+        within or (not root and bool(words & CONTENT)),
         name == "a" or (parent is not None and parent.link),
     )
 
 
-def lines_of(page: str) -> list[Line]:
-    """Lines of text in page order, one for each block."""
+def lines_of(page: str, wrappers: list[Wrapper], frames: set[int]) -> list[Line]:
+    """Lines of text in page order, one for each block; fills ``wrappers``."""
     lines: list[Line] = []
     stack: list[Element] = []
     parts: list[str] = []
@@ -134,11 +173,7 @@ def lines_of(page: str) -> list[Line]:
         nonlocal links, owner
         text = " ".join("".join(parts).split())
         if text:
-            lines.append(
-                Line(text, links, owner.apart, owner.marked, owner.likely)
-                if owner
-                else Line(text, links, False, False, False)
-            )
+            lines.append(Line(text, links, owner))
         parts.clear()
         links, owner = 0, None
 
@@ -188,39 +223,63 @@ def lines_of(page: str) -> list[Line]:
                 if name in SELF_CLOSING:
                     close(SELF_CLOSING[name], {"ul", "ol", "dl", "table", "select", "div", "menu"})
             if name not in VOID and not m["attributes"].endswith("/"):
-                stack.append(element_of(name, m["attributes"], stack[-1] if stack else None))
+                around = stack[-1] if stack else None
+                stack.append(element_of(name, m["attributes"], around, wrappers, frames))
     add(page[at:])
     end_line()
     return lines
 
 
-def weights_of(lines: list[Line]) -> tuple[list[int], float]:
-    """The weight of each line, and the share of the highest sum that makes a surge."""
-
-    def weight(line: Line) -> int:
-        return 0 if line.apart else len(line.text)
-
+def frames_of(lines: list[Line], wrappers: list[Wrapper]) -> set[int]:
+    """Wrappers that hold so much of the page that they are its frame."""
+    total, held, count = 0, [0] * len(wrappers), [0] * len(wrappers)
+    for line in lines:
+        if not line.mostly_links and not (line.element and line.element.skipped):
+            total += len(line.text)
+            for n in line.element.wrappers if line.element else ():
+                held[n] += len(line.text)
+                count[n] += 1
+    return {
+        n
+        for n, (wrapper, weight) in enumerate(zip(wrappers, held, strict=True))
+        if weight
+        and (
+            (wrapper.heading and 2 * weight >= total)
+            or (not wrapper.readers and weight >= MOST * total and count[n] >= WINDOW)
+        )
+    }
+
+
+def weights_of(lines: list[Line]) -> list[int]:
+    """The weight of each line: none for links, or outside of where the page marks most of its weight."""
+    plain = [0 if line.mostly_links else len(line.text) for line in lines]
     for mark in ("marked", "likely"):
-        inside = [weight(x) if getattr(x, mark) else 0 for x in lines]
-        if any(inside) and (mark == "marked" or 2 * sum(inside) >= sum(map(weight, lines))):
-            return inside, WITHIN_MARKED
-    return [0 if x.links > LINKS * len(x.text) else weight(x) for x in lines], SHARE
+        inside = [line.element is not None and getattr(line.element, mark) for line in lines]
+        if 0 < sum(plain) <= 2 * sum(w for w, here in zip(plain, inside, strict=True) if here):
+            return [len(line.text) if here else 0 for line, here in zip(lines, inside, strict=True)]
+    return plain
 
 
 def main_text(page: str | None) -> str:
-    lines = lines_of(page or "")
-    weights, share = weights_of(lines)
+    wrappers: list[Wrapper] = []
+    lines = lines_of(page or "", wrappers, set())
+    frames = frames_of(lines, wrappers)
+    if frames:
+        lines = lines_of(page or "", [], frames)
+    lines = [line for line in lines if not line.apart]
+    weights = weights_of(lines)
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    level = max(share * max(sums, default=0), 1)
+    level = max(SHARE * max(sums, default=0), 1)
     dense = [i for i, total in enumerate(sums) if total >= level]
     if not dense:
         return ""
-    surge, dive = dense[0], dense[-1]
+    surge, dive = dense[0], min(dense[-1] + WINDOW, len(weights)) - 1
     while surge and weights[surge - 1]:
         surge -= 1
     while dive + 1 < len(weights) and weights[dive + 1]:
         dive += 1
-    return "\n\n".join(x.text for x, w in zip(lines[surge : dive + 1], weights[surge:]) if w)
+    kept = zip(lines[surge : dive + 1], weights[surge : dive + 1], strict=True)
+    return "\n\n".join(line.text for line, weight in kept if weight)
 
 
 @F.arrow_udf(T.StringType())

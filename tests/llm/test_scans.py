@@ -137,6 +137,66 @@ def test_pages():
     assert len(pages.main_text("<p>" + LONG)) == len(LONG) - 1
 
 
+PARAGRAPHS = [f"Paragraph {n} of the story, with words enough to count as running text." for n in range(4)]
+STORY = "<h1>Headline</h1>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+STORY_TEXT = "\n\n".join(["Headline", *PARAGRAPHS])
+SHORT = "<p>The end.</p>"
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<article>", "</article>"),
+    ("<div>", "</div>"),
+    ('<div class="page sidebar-right social">', "</div>"),
+    ('<form action="/" id="aspnet">', "</form>"),
+    ('<div class="hentry comments-open"><main>', "</main></div>"),
+    ('<article class="post related-posts-on">', "</article>"),
+    ('<div class="comments-closed">', "</div>"),
+    ('<div class="popup-root"><div class="share-layout"><article>', "</article></div></div>"),
+])
+def test_frames_hold_the_article_whatever_they_are_called(before, after):
+    menu = '<nav><a href="/">Home</a></nav><div class="cookie">We use cookies for this and that.</div>'
+    inner = '<div class="comments"><p>A reader thinks otherwise, and says so here.</p></div>'
+    page = f"<html><body>{menu}{before}{STORY}{inner}{after}<footer>Imprint</footer></body></html>"
+    assert pages.main_text(page) == STORY_TEXT
+
+
+def test_marks_count_by_what_they_hold():
+    teasers = "".join(f"<article><a href=/{n}>More news {n}</a></article>" for n in range(5))
+    assert pages.main_text(f"<body><div>{STORY}</div><ul>{teasers}</ul></body>") == STORY_TEXT
+    plain = "<div>Words outside of the article that nobody marked as anything.</div>"
+    assert pages.main_text(f"{plain}<main>{STORY}</main>{plain}") == STORY_TEXT
+
+
+def test_comments_longer_than_the_article():
+    reader = "".join(f"<p>{p} I do not agree with it at all, dear author.</p>" for p in PARAGRAPHS * 5)
+    for wrapper in ('<div id="comments">', "<section class='discussion'><article>", "<div class=disqus>"):
+        assert pages.main_text(f"<div>{STORY}</div>{wrapper}{reader}") == STORY_TEXT
+        assert pages.main_text(f"<article>{STORY}</article>{wrapper}{reader}") == STORY_TEXT
+
+
+@pytest.mark.parametrize("page", [
+    "<form>Name <input><p>Password <input></form>",
+    '<div class="cookie-notice">We use cookies to make your stay with us as pleasant as can be.</div>',
+    "<nav><ul><li>One<li>Two<li>Three<li>Four</ul></nav><footer>Imprint</footer>",
+    '<section id="comments"><p>One reader.</p><p>Another reader.</p><p>And a third.</p></section>',
+])
+def test_pages_without_an_article(page):
+    assert pages.main_text(f"<html><body>{page}</body></html>") == ""
+
+
+def test_surge_and_dive():
+    advert = '<div class="ad">Buy one, get one.</div>'
+    link = "<p><a href=/x>Read this other story too</a></p>"
+    for before, after in (("<article>", "</article>"), ("<div>", "</div>")):
+        text = pages.main_text(f"{before}{SHORT}{advert}{STORY}{advert}{SHORT}{after}")
+        assert text == f"The end.\n\n{STORY_TEXT}\n\nThe end."
+    assert pages.main_text(f"<div>{STORY}{link}{SHORT}</div>") == f"{STORY_TEXT}\n\nThe end."
+    assert pages.main_text(f"<article>{STORY}{link}</article>") == f"{STORY_TEXT}\n\nRead this other story too"
+    menu = "".join(f"<li><a href=/{n}>Section {n}</a></li>" for n in range(9))
+    imprint = f"<ul>{menu}</ul><div>Imprint</div>"
+    assert pages.main_text(f"<div>Tips</div><ul>{menu}</ul><div>{STORY}</div>{imprint}") == STORY_TEXT
+
+
 def test_page_rows(spark):
     rows = [(1, None, "x"), (None, "<p>a</p>", "y"), (1, "", "z"), (1, None, "x")]
     df = spark.createDataFrame(rows, "page_id long, html string, url string")
