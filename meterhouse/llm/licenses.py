@@ -3,14 +3,16 @@
 Paragraphs are the lines of a text, its words lower-cased runs of letters and digits. A multinomial
 logistic regression on sparse word n-grams gives each paragraph a licence family or "unknown". It is
 trained on the templates below and parts of them, on sentences that merely sound like licences, and on at
-most ``SAMPLE`` paragraphs of the corpus itself that resemble no template. N-grams that are common in the
-latter two, or made of words that are, are no features. The level of "unknown" is calibrated on sentences held back from the training,
-so that at most one in ``FALSE_ALARMS`` of them is taken for a licence. A prediction counts only when a
+most ``SAMPLE`` paragraphs of the corpus itself that resemble no template. Only n-grams that are themselves
+common in the latter two are no features; those of common words that do not stand together elsewhere are.
+The level of "unknown" is calibrated on sentences held back from the training, so that at most one in
+``FALSE_ALARMS`` of them is taken for a licence. A prediction counts only when a
 template of the predicted family shares at least ``CONFIRM`` of the smaller one's word pairs.
 
 Training sees bounded text on the driver. Scanning is DataFrame expressions in the row: the weights and
-templates are literals, bounded by the templates, and nothing is shuffled. A paragraph that holds the
-rarest word of no feature holds no feature and can only be unknown, so it is passed over.
+templates are literals, bounded by the templates, and nothing is shuffled. Every feature has a trigger: its
+rarest word or, where all its words are common, its rarest word pair. A paragraph without a trigger holds
+no feature and can only be unknown, so it is passed over.
 
 A null or empty text has no paragraphs. Null ids, repeated rows and further columns of ``docs`` pass
 through ``scan``. An empty table gives an empty result.
@@ -206,11 +208,17 @@ class Model:
         licensed = {g for words, _ in rows for g in ngrams_of(words)}
         common = Counter(g for words in plain + alike for g in ngrams_of(words) & licensed)
         usual = Counter(w for words in plain + alike for w in set(words))
-        rarest = {g: min(g.split(), key=lambda w: (usual[w], w)) for g in licensed}
-        self.features = sorted(
-            g for g in licensed if common[g] < COMMON and usual[rarest[g]] < COMMON
+        self.features = sorted(g for g in licensed if common[g] < COMMON)
+        triggers = set()
+        for g in self.features:
+            rarest = min(g.split(), key=lambda w: (usual[w], w))
+            if usual[rarest] >= COMMON:  # then ``g`` is two words or more
+                rarest = min(pairs_of(g.split()), key=lambda p: (common[p], p))
+            triggers.add(rarest)
+        self.triggers = sorted(t for t in triggers if " " not in t)
+        self.trigger_pairs = sorted(
+            t for t in triggers if " " in t and not set(self.triggers) & set(t.split())
         )
-        self.triggers = sorted({rarest[g] for g in self.features})
         self.number = {g: i for i, g in enumerate(self.features)}
         rows += [(words, len(self.families)) for words in trained]
         k = np.array([k for _, k in rows])
@@ -344,7 +352,17 @@ def scan(docs: DataFrame, model: Model, text: str = "text", out: str = "licenses
             F.regexp_extract_all(F.lower(p), F.lit(WORD), F.lit(0)).alias("words"),
         ),
     )
-    some = F.filter(paragraphs, lambda p: F.arrays_overlap(p["words"], literal(model.triggers)))
+    starts = sorted({pair.split()[0] for pair in model.trigger_pairs})
+
+    def triggered(words: Column) -> Column:
+        after = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+        pairs = F.zip_with(words, after, lambda a, b: F.concat(a, F.lit(" "), b))
+        by_pair = F.arrays_overlap(words, literal(starts)) & F.arrays_overlap(
+            F.filter(pairs, lambda p: p.isNotNull()), literal(model.trigger_pairs)
+        )
+        return F.arrays_overlap(words, literal(model.triggers)) | by_pair
+
+    some = F.filter(paragraphs, lambda p: triggered(p["words"]))
     licensed = F.filter(
         F.transform(some, judged), lambda x: (x["family"] != UNKNOWN) & (x["score"] >= CUTOFF)
     )

@@ -218,6 +218,30 @@ def test_licences(spark, awkward, empty):
     assert licenses.scan(empty, licenses.Model(licenses.unlicensed(empty))).count() == 0
 
 
+def test_licences_where_their_words_are_common(spark):
+    plain = [
+        "Her rights were reserved by the court.", "The reserved seats gave rights to nobody.", "He reserved all of it.",
+        "Rights and duties belong together.", "The license was released under the old rules.", "A new version of the work.",
+        "The driver lost a license.", "They released a license under protest.", "MIT released the film.", "Reserved for you.",
+        "Lizenz mit Rechten, mit Version und mit Bedingungen.", "Mit der Zeit kam mit dem Wind mit der Flut Regen.",
+        "The public domain of general interest.", "A general of the public guard, licensed to sell.", "CC of BY streets.",
+        "Work under the general license of public law.", "Universal terms of commons and creative people.",
+        "This work is subject to the conditions of the source.", "Any person may use the following form.",
+    ]
+    rows = [(n, "\n".join(f"{line} {w}" for line in plain)) for n, w in enumerate(["Today.", "Again.", "Never.", "Often."])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licenses.Model(licenses.unlicensed(docs))
+    for word in ("rights", "reserved", "license", "released", "mit"):
+        assert word not in model.features
+    held = {*model.triggers, *model.trigger_pairs}
+    assert all(held & licenses.ngrams_of(g.split()) for g in model.features)
+    lines = [p for phrases in licenses.TEMPLATES.values() for p in phrases]
+    family = [f for f, phrases in licenses.TEMPLATES.items() for _ in phrases]
+    found = licenses.scan(spark.createDataFrame([(1, "\n".join(lines + plain))], "doc_id long, text string"), model)
+    mine = {x.paragraph: x.family for x in found.first().licenses}
+    assert mine == dict(enumerate(family))
+
+
 @pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
 def test_classifier_rows(spark, awkward, empty, module, label):
     rows = [(0, 1), (4, 0), (3, None), (6, 2), (5, 0), (5, 1)]
