@@ -5,14 +5,14 @@ which each distinct pre-token has a number, frequent ones a small one; a documen
 of these numbers by position. Only the distinct words of the blocks are shuffled by word, those of a
 block for one bucket of words packed into a row: each distinct word of the corpus is encoded once in
 its bucket, its ids go back to the blocks that hold it, and a block puts the ids in place of its
-numbers, position by position. However common a word is, a block sends it once. Texts are cut twice,
-once for their words and once for their sequences, which costs less than to store either. Decoding
-joins every id with the token-byte table, whose size is that of the vocabulary.
+numbers, position by position. However common a word is, a block sends it once. Texts are cut once: words
+and sequences leave in the same shuffle, dealt by one key, which both readers take their part from.
+Decoding joins every id with the token-byte table, whose size is that of the vocabulary.
 
 A null or empty text has no ids. Rows with a null id and repeated rows are encoded each for itself;
 every row of the input is one row of the result. An empty table gives an empty result. ``docs`` should
 be a scan or a written table: blocks are numbered by partition and place, which has to come out the
-same when they are cut again.
+same when a lost part of the shuffle is cut again.
 """
 
 from __future__ import annotations
@@ -235,7 +235,6 @@ class Blocks:
         return [rank[f] for f in found], [words[i] for i in order]
 
 
-WORD_ROWS = "bucket int, block long, numbers binary, words binary"
 ID_ROWS = "back long, numbers binary, sizes binary, ids binary"
 
 
@@ -247,14 +246,16 @@ def encode(
     table = docs.sparkSession.sparkContext.broadcast(ranks)
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, total // BUCKET_CHARS)
-    body_rows = T.StructType().add("block", T.LongType()).add(docs.schema["doc_id"])
-    body_rows = body_rows.add("body", T.BinaryType())
+    # sequences go to their block, words to their bucket, which is a number below 0
+    part_rows = T.StructType().add("to", T.LongType()).add("block", T.LongType())
+    part_rows = part_rows.add("numbers", T.BinaryType()).add("words", T.BinaryType())
+    part_rows = part_rows.add(docs.schema["doc_id"]).add("body", T.BinaryType())
     id_rows = T.StructType([docs.schema["doc_id"]]).add("ids", IDS)
     blocks = Blocks(pattern, block_chars)
 
-    def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=3)
-        for block, _, _, words in blocks(batches):
+        for block, ids, found, words in blocks(batches):
             coded = [w.encode() for w in words]
             bucket = np.array([xxhash.xxh64_intdigest(w) % buckets for w in coded], np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -262,15 +263,23 @@ def encode(
             rows = np.split(order, cuts[1:]) if len(order) else []
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([int(bucket[r[0]]) for r in rows], pa.int32()),
+                    pa.array([-1 - int(bucket[r[0]]) for r in rows], pa.int64()),
                     pa.array([block] * len(rows), pa.int64()),
                     pa.array([packed(np.diff(r, prepend=0), zip_) for r in rows], pa.binary()),
                     pa.array([packed_words([coded[i] for i in r], zip_) for r in rows], pa.binary()),
+                    pa.nulls(len(rows), ids.type),
+                    pa.nulls(len(rows), pa.binary()),
                 ],
-                ["bucket", "block", "numbers", "words"],
+                part_rows.names,
             )
+            none = pa.nulls(len(ids), pa.binary())
+            same = pa.array(np.full(len(ids), block))
+            bodies = pa.array([packed(f, zip_) for f in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([same, same, none, none, ids, bodies], part_rows.names)
 
-    def encode_bucket(rows: pa.Table) -> pa.Table:
+    def encode_bucket(key: tuple, rows: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 0:
+            rows = rows.slice(0, 0)
         zip_, unzip = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         known, ids_of = table.value, {}
         sizes, ids = [], []
@@ -292,14 +301,9 @@ def encode(
             }
         )
 
-    def cut_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zip_ = zstandard.ZstdCompressor(level=3)
-        for block, ids, found, _ in blocks(batches):
-            bodies = pa.array([packed(f, zip_) for f in found], pa.binary())
-            same = pa.array(np.full(len(ids), block))
-            yield pa.RecordBatch.from_arrays([same, ids, bodies], body_rows.names)
-
-    def assemble(bodies: pa.Table, words: pa.Table) -> pa.Table:
+    def assemble(key: tuple, bodies: pa.Table, words: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            bodies = bodies.slice(0, 0)
         unzip = zstandard.ZstdDecompressor()
         columns = [
             [unpacked(body, unzip).astype(np.int64) for body in words.column(c).to_pylist()]
@@ -317,14 +321,12 @@ def encode(
             inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             out.append(values[np.repeat(begin[at], count) + inner].astype(np.int32))
         offsets = np.cumsum([0] + [len(x) for x in out]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out)))
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out + [np.zeros(0, np.int32)])))
         return pa.table({"doc_id": bodies.column("doc_id"), "ids": ids})
 
-    replies = (
-        docs.mapInArrow(cut_words, WORD_ROWS).groupBy("bucket").applyInArrow(encode_bucket, ID_ROWS)
-    )
-    bodies = docs.mapInArrow(cut_bodies, body_rows)
-    return bodies.groupBy("block").cogroup(replies.groupBy("back")).applyInArrow(assemble, id_rows)
+    parts = docs.mapInArrow(cut, part_rows).groupBy("to")
+    replies = parts.applyInArrow(encode_bucket, ID_ROWS)
+    return parts.cogroup(replies.groupBy("back")).applyInArrow(assemble, id_rows)
 
 
 def decoded(ids: Column, ranks: dict[bytes, int], spark: SparkSession) -> Column:
