@@ -239,11 +239,20 @@ ID_ROWS = "back long, numbers binary, sizes binary, ids binary"
 
 
 def encode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    block_chars: int = BLOCK_CHARS,
+    back: bool = False,
 ) -> DataFrame:
-    """(doc_id, ids) of every row of ``docs``."""
+    """(doc_id, ids) of every row of ``docs``.
+
+    With ``back`` also ``packed``, the ids as unsigned 32-bit integers, least byte first, and ``bytes``,
+    decoded from the ids where they are put together.
+    """
     docs = docs.select("doc_id", "text")
-    table = docs.sparkSession.sparkContext.broadcast(ranks)
+    context = docs.sparkSession.sparkContext
+    table, tokens = context.broadcast(ranks), context.broadcast(token_table(ranks) if back else [])
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, total // BUCKET_CHARS)
     # sequences go to their block, words to their bucket, which is a number below 0
@@ -251,6 +260,8 @@ def encode(
     part_rows = part_rows.add("numbers", T.BinaryType()).add("words", T.BinaryType())
     part_rows = part_rows.add(docs.schema["doc_id"]).add("body", T.BinaryType())
     id_rows = T.StructType([docs.schema["doc_id"]]).add("ids", IDS)
+    if back:
+        id_rows = id_rows.add("packed", T.BinaryType()).add("bytes", T.BinaryType())
     blocks = Blocks(pattern, block_chars)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,20 +332,30 @@ def encode(
             inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             out.append(values[np.repeat(begin[at], count) + inner].astype(np.int32))
         offsets = np.cumsum([0] + [len(x) for x in out]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out + [np.zeros(0, np.int32)])))
-        return pa.table({"doc_id": bodies.column("doc_id"), "ids": ids})
+        values = pa.array(np.concatenate(out + [np.zeros(0, np.int32)]))
+        columns = [bodies.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)]
+        if back:
+            token = tokens.value.__getitem__
+            columns.append(pa.array([x.astype("<u4").tobytes() for x in out], pa.binary()))
+            columns.append(pa.array([b"".join(map(token, x.tolist())) for x in out], pa.binary()))
+        return pa.table(columns, names=id_rows.names)
 
     parts = docs.mapInArrow(cut, part_rows).groupBy("to")
     replies = parts.applyInArrow(encode_bucket, ID_ROWS)
     return parts.cogroup(replies.groupBy("back")).applyInArrow(assemble, id_rows)
 
 
-def decoded(ids: Column, ranks: dict[bytes, int], spark: SparkSession) -> Column:
-    """The bytes of each list of ids."""
+def token_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, n in ranks.items():
         table[n] = token
-    shared = spark.sparkContext.broadcast(table)
+    return table
+
+
+def decoded(ids: Column, ranks: dict[bytes, int], spark: SparkSession) -> Column:
+    """The bytes of each list of ids."""
+    shared = spark.sparkContext.broadcast(token_table(ranks))
 
     @F.arrow_udf(T.BinaryType())
     def bytes_of(lists: pa.Array) -> pa.Array:
@@ -344,21 +365,15 @@ def decoded(ids: Column, ranks: dict[bytes, int], spark: SparkSession) -> Column
     return bytes_of(ids)
 
 
-@F.arrow_udf(T.BinaryType())
-def little_endian(lists: pa.Array) -> pa.Array:
-    """Ids as unsigned 32-bit integers, least byte first."""
-    return pa.array([x.values.to_numpy().astype("<u4").tobytes() for x in lists], pa.binary())
-
-
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids, and its bytes decoded from them, as counts and digests."""
     import public_tokenizers
 
     ranks = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    tokens = encode(documents(spark, folder), ranks, public_tokenizers.PATTERN)
-    return tokens.select(
+    coded = encode(documents(spark, folder), ranks, public_tokenizers.PATTERN, back=True)
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(little_endian("ids"), 256).alias("ids_sha256"),
-        F.sha2(decoded(F.col("ids"), ranks, spark), 256).alias("decoded_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
     )

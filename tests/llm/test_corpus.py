@@ -76,6 +76,9 @@ def test_bpe_rows(spark, written, block_chars):
         for r in written.collect()
     ]
     assert sorted([(r.doc_id, r.ids, bytes(r.bytes)) for r in rows], key=str) == sorted(expected, key=str)
+    there = bpe.encode(written, ranks, public_tokenizers.PATTERN, block_chars, back=True).collect()
+    assert sorted([(r.doc_id, r.ids, bytes(r.bytes)) for r in there], key=str) == sorted(expected, key=str)
+    assert all(bytes(r.packed) == np.array(r.ids, "<u4").tobytes() for r in there)
     assert bpe.encode(written.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
 
 
