@@ -8,8 +8,11 @@ signatures of a partition lie below a cutoff, so of a document's shingles only t
 MinHash sketch for that partition, are looked up, and a document with too few shingles for a partition
 is not looked up there at all. Candidates are then verified on the shingles themselves.
 
-Nothing of the documents is shuffled. Items are cut into blocks of at most ``BLOCK_BYTES`` of text, so
-what is broadcast has that bound however large the benchmark is.
+Items of at most ``BLOCK_BYTES`` of text are sent out, and nothing of the documents is shuffled. Beyond
+that, signatures are a table that Spark makes and joins: a document's hashes below the cutoffs that a Bloom
+filter of ``BLOOM_BITS`` of all signatures lets through meet it by partition and hash, and the candidates
+found, one for each pair of texts however often either is repeated, are verified by joins with both. Both
+ways verify the same shingles, so they give the same rows.
 
 A null or empty text holds nothing, and an item of fewer than five words has no shingles and leaks
 nowhere. Null ids, repeated rows and repeated items are reported like any others, row by row. An empty
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,13 @@ from pyspark.sql import types as T
 
 from meterhouse.llm.tables import documents, fresh
 from meterhouse.llm.words import WordHashes, rolling
+from meterhouse.session import write_and_read
 
 WORDS = 5
 THRESHOLD = 0.8
 BLOCK_BYTES = 32_000_000
+BLOOM_BITS = 1 << 28
+BLOOM_PART = 1 << 19  # bits of the filter that are put together in one place
 CHUNK_WORDS = 1_000_000
 LEAK = T.ArrayType(
     T.StructType()
@@ -51,6 +58,13 @@ def shingles_of(words: list[bytes]) -> set[bytes]:
     return {b" ".join(words[i : i + WORDS]) for i in range(len(words) - WORDS + 1)}
 
 
+def signature(words: list[bytes], hashes: WordHashes, threshold: float) -> tuple[int, np.ndarray]:
+    """The number of distinct shingles of an item, and its least shingle hashes."""
+    size = len(shingles_of(words))
+    minima = np.unique(rolling(hashes.of(words), WORDS))
+    return size, minima[: size - enough(size, threshold) + 1]
+
+
 def enough(size: int, threshold: float) -> int:
     """The least number of shared shingles that leaks an item of ``size``."""
     return math.ceil(threshold * size - 1e-9)
@@ -74,8 +88,7 @@ class ItemIndex:
             size = len(self.shingles[n])
             part = size.bit_length()
             least[part] = min(least.get(part, size), enough(size, threshold))
-            minima = np.unique(rolling(hashes.of(words), WORDS))
-            parts[part] += [(int(h), n) for h in minima[: size - enough(size, threshold) + 1]]
+            parts[part] += [(int(h), n) for h in signature(words, hashes, threshold)[1]]
         self.parts = []
         for part, found in sorted(parts.items()):
             found.sort()
@@ -144,35 +157,173 @@ def searcher(index: Broadcast):
 
 
 def leaks(text: Column, items: DataFrame, threshold: float = THRESHOLD) -> Column:
-    """Items (item_id, text) that each text leaks, as an array of (item_id, shared, n_shingles)."""
-    spark = items.sparkSession
-    items = items.select(F.col("item_id").cast("long"), "text")
-    size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    blocks = size // BLOCK_BYTES + 1
-    found = []
-    for block in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = spark.sparkContext.broadcast(
-            ItemIndex([(r.item_id, r.text) for r in mine.collect()], threshold)
-        )
-        found.append(searcher(index)(text))
-    return F.concat(*found)
+    """Items (item_id, text) that each text leaks, as an array of (item_id, shared, n_shingles).
+
+    All items are sent out: for a benchmark of at most ``BLOCK_BYTES``.
+    """
+    rows = items.select(F.col("item_id").cast("long"), "text").collect()
+    index = ItemIndex([(r.item_id, r.text) for r in rows], threshold)
+    return searcher(items.sparkSession.sparkContext.broadcast(index))(text)
+
+
+def is_small(items: DataFrame) -> bool:
+    return (items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0) <= BLOCK_BYTES
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+class Bloom:
+    """Which hashes may be among those added; two bits each."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @staticmethod
+    def places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mask = np.uint64(BLOOM_BITS - 1)
+        return tuple((x & mask).astype(np.int64) for x in (hashes, hashes >> np.uint64(28)))
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.ones(len(hashes), bool)
+        for at in self.places(hashes):
+            found &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        return found
+
+
+def bloom_of(signatures: DataFrame) -> Bloom:
+    """The filter of all signature hashes: of its parts, each put together in one group."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            at = np.unique(np.concatenate(Bloom.places(hashes)))
+            parts = [pa.array(at // BLOOM_PART), pa.array((at % BLOOM_PART).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(parts, ["part", "at"])
+
+    # a part has BLOOM_PART different places at most
+    pairs = signatures.select("hash").mapInArrow(places, "part long, at int").distinct()
+    bits = np.zeros(BLOOM_BITS // 8, np.uint8)
+
+    def put_together(key: tuple, rows: pa.Table) -> pa.Table:
+        own = np.zeros(BLOOM_PART, np.uint8)
+        own[rows["at"].to_numpy()] = 1
+        packed = np.packbits(own, bitorder="little").tobytes()
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
+
+    for row in pairs.groupBy("part").applyInArrow(put_together, "part long, bits binary").toLocalIterator():
+        at = row.part * BLOOM_PART // 8
+        bits[at : at + BLOOM_PART // 8] = np.frombuffer(row.bits, np.uint8)
+    return Bloom(bits)
+
+
+def leaked_pairs(texts: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, item_id, shared, n_shingles): items that the text of each key leaks, all by joins.
+
+    ``texts`` has (key, text), rows of equal texts included. A written table.
+    """
+    spark = texts.sparkSession
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text", text_key(F.col("text")).alias("item"))
+    distinct = items.groupBy("item").agg(F.min("text").alias("item_text"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            out = {"part": [], "hash": [], "item": [], "least": []}
+            for key, text in zip(batch.column("item"), batch.column("item_text"), strict=True):
+                words = words_of(text.as_py())
+                if len(words) >= WORDS:
+                    size, minima = signature(words, hashes, threshold)
+                    out["part"] += [size.bit_length()] * len(minima)
+                    out["hash"] += minima.view(np.int64).tolist()
+                    out["item"] += [key.as_py()] * len(minima)
+                    out["least"] += [enough(size, threshold)] * len(minima)
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out)
+            )
+
+    schema = "part int, hash long, item binary, least long"
+    signatures = write_and_read(distinct.mapInArrow(sign, schema), "signatures")
+    # hashes are unsigned; with the top bit turned they order as longs do
+    turned = F.col("hash").bitwiseXOR(F.lit(-(1 << 63)))
+    bounds = signatures.groupBy("part").agg(F.max(turned).alias("cutoff"), F.min("least").alias("least"))
+    # a row for each power of two
+    parts = [(r.part, np.uint64(r.cutoff + (1 << 63)), r.least) for r in bounds.collect()]
+    sent = spark.sparkContext.broadcast(bloom_of(signatures))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, names = WordHashes(), ["part", "hash", "key"]
+        for batch in batches:
+            for key, text in zip(batch.column("key"), batch.column("text"), strict=True):
+                every = rolling(hashes.of(words_of(text.as_py())), WORDS)
+                own = np.unique(every)
+                near = own[sent.value.has(own)]
+                for part, cutoff, least in parts if len(near) else ():
+                    low = near[near <= cutoff] if len(every) >= least else near[:0]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(low), part, np.int32)),
+                            pa.array(low.view(np.int64)),
+                            pa.array([key.as_py()] * len(low), pa.binary()),
+                        ],
+                        names,
+                    )
+
+    probes = texts.mapInArrow(probe, "part int, hash long, key binary").distinct()
+    found = probes.join(signatures.drop("least"), ["part", "hash"]).select("key", "item").distinct()
+    candidates = write_and_read(found, "candidates")
+    wanted = texts.join(candidates.select("key").distinct(), "key", "left_semi")
+    wanted = wanted.groupBy("key").agg(F.min("text").alias("text"))
+    met = candidates.join(distinct, "item").join(wanted, "key")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, have = None, set()  # candidates of a text come one after the other
+        for batch in batches:
+            shared, sizes = [], []
+            texts_, keys = batch.column("text"), batch.column("key").to_pylist()
+            for n, item in enumerate(batch.column("item_text")):
+                if keys[n] != last:
+                    last, have = keys[n], shingles_of(words_of(texts_[n].as_py()))
+                want = shingles_of(words_of(item.as_py()))
+                both = len(want & have)
+                shared.append(both if both >= enough(len(want), threshold) else None)
+                sizes.append(len(want))
+            columns = [batch.column("key"), batch.column("item"), pa.array(shared, pa.int64()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "item", "shared", "n_shingles"])
+
+    schema = "key binary, item binary, shared long, n_shingles long"
+    pairs = met.select("key", "item", "text", "item_text").mapInArrow(verify, schema)
+    pairs = pairs.where("shared is not null").join(items.select("item", "item_id"), "item").drop("item")
+    return write_and_read(pairs, "leaks")
 
 
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, shared, n_shingles, containment) of every leak."""
-    return (
-        docs.select("doc_id", F.explode(leaks(F.col("text"), items, threshold)).alias("leak"))
-        .select("doc_id", "leak.*")
-        .withColumn("containment", F.col("shared") / F.col("n_shingles"))
+    if is_small(items):
+        found = docs.select(
+            "doc_id", F.explode(leaks(F.col("text"), items, threshold)).alias("leak")
+        ).select("doc_id", "leak.*")
+    else:
+        keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
+        pairs = leaked_pairs(keyed.select("key", "text"), items, threshold)
+        found = keyed.select("doc_id", "key").join(pairs, "key").drop("key")
+    return found.select(
+        "doc_id", "item_id", "shared", "n_shingles",
+        (F.col("shared") / F.col("n_shingles")).alias("containment"),
     )
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that leak no item, with their columns."""
-    found = fresh(docs, "leaks")
-    marked = docs.withColumn(found, F.size(leaks(F.col("text"), items, threshold)))
-    return marked.where(F.col(found) == 0).drop(found)
+    mark = fresh(docs, "leaks")
+    if is_small(items):
+        marked = docs.withColumn(mark, F.size(leaks(F.col("text"), items, threshold)))
+        return marked.where(F.col(mark) == 0).drop(mark)
+    texts = docs.select(text_key(docs["text"]).alias("key"), "text")
+    leaked = leaked_pairs(texts, items, threshold).select(F.col("key").alias(mark)).distinct()
+    return docs.join(leaked, text_key(docs["text"]) == F.col(mark), "left_anti")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

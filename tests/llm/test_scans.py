@@ -86,7 +86,9 @@ def test_secret_rows(awkward, empty):
     assert secrets.scan(empty).count() == 0
 
 
-def test_leaks_equal_brute_force(spark, awkward, empty):
+@pytest.mark.parametrize("block_bytes", [32_000_000, 0])
+def test_leaks_equal_brute_force(spark, awkward, empty, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     half = " ".join(item.split()[:9])
     items = [(1, item), (2, "too short now"), (3, None), (None, item.upper()), (1, item), (5, "")]
@@ -111,13 +113,17 @@ def test_leaks_equal_brute_force(spark, awkward, empty):
     assert decontaminate.without_leaks(empty, items).count() == 0
 
 
-def test_item_blocks_find_the_same(spark, monkeypatch):
-    folder = "/root/testdata/sf0.001"
+def test_joins_find_what_is_sent_out_finds(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     whole = sorted(decontaminate.contamination(docs, items).collect())
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2_000)
+    clean = sorted(r.doc_id for r in decontaminate.without_leaks(docs, items).collect())
+    assert whole and len(clean) < docs.count()
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 0)
     assert sorted(decontaminate.contamination(docs, items).collect()) == whole
+    kept = decontaminate.without_leaks(docs, items)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == clean
 
 
 def test_pages():
