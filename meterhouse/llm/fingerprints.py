@@ -14,9 +14,9 @@ is taken from the digests themselves.
 
 All of it is DataFrame expressions in the row. Texts are shuffled once by id, to meet the document before
 them; the order of ids is worked out on ids alone, by ranges. A null or empty text has no digests, an empty
-fingerprint, and likeness 1 to another such. Rows of equal id and text are one document; rows of equal id and
-different text follow each other in the order of their hashes, null ids come first. A document alone is its
-own next one. An empty table gives an empty result.
+fingerprint, and likeness 1 to another such. Rows of equal id and text are one document, worked out once, and
+each gets its result; rows of equal id and different text follow each other in the order of their hashes, null
+ids come first. A document alone is its own next one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -288,16 +288,21 @@ def with_next(keys: DataFrame) -> DataFrame:
     )
 
 
-def versions(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited, keys, edited_keys, next_keys) of every document."""
+def named_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text, hash) of every row, and a written table that counts equal rows."""
     text = F.coalesce("text", F.lit(""))
     named = docs.select("doc_id", text.alias("text")).withColumn("hash", F.xxhash64("text"))
     need = F.floor(F.length("text") / 4).cast("int")
     keys = named.select("doc_id", "hash", need.alias("need"))
     counted = keys.groupBy("doc_id", "hash", "need").agg(F.count("*").alias("n"))
-    counted = write_and_read(counted, "keys")
-    if not counted.where("n > 1").isEmpty():
-        named = named.dropDuplicates(["doc_id", "hash"])
+    return named, write_and_read(counted, "keys")
+
+
+def versions(named: DataFrame, counted: DataFrame) -> DataFrame:
+    """(doc_id, hash, n_chars, edited, keys, edited_keys, next_keys) of every document.
+
+    ``named`` has no equal rows.
+    """
     links = write_and_read(with_next(counted.drop("n")), "links")
     # Digests come after the shuffle of the texts and no column is renamed before it, so the two joins
     # share that shuffle.
@@ -311,10 +316,11 @@ def versions(docs: DataFrame) -> DataFrame:
     to_own = [named["doc_id"].eqNullSafe(starts["own_id"]), named["hash"] == starts["own_hash"]]
     kept = F.substring(named["text"], F.lit(1), F.length(named["text"]) - F.col("need"))
     joined = named.join(starts, to_own).select(
-        named["doc_id"], named["text"], F.concat(kept, "start").alias("edited"), "next_keys"
+        named["doc_id"], named["hash"], named["text"], F.concat(kept, "start").alias("edited"), "next_keys"
     )
     return joined.select(
         "doc_id",
+        "hash",
         F.length("text").cast("long").alias("n_chars"),
         "edited",
         digests(F.col("text")).alias("keys"),
@@ -323,17 +329,20 @@ def versions(docs: DataFrame) -> DataFrame:
     )
 
 
-def query(spark: SparkSession, folder: str) -> DataFrame:
-    """Fingerprints of every document and its edited text, and what they say of their likeness."""
-    rows = versions(documents(spark, folder))
+def compared(docs: DataFrame) -> DataFrame:
+    """Fingerprints of every row and its edited text, and what they say of their likeness."""
+    named, counted = named_rows(docs)
+    repeated = not counted.where("n > 1").isEmpty()
+    rows = versions(named.dropDuplicates(["doc_id", "hash"]) if repeated else named, counted)
     for kind in ("", "edited_", "next_"):
         rows = rows.withColumn(f"{kind}cells", sketch(F.col(f"{kind}keys")))
     near = {
         kind: likeness(*[F.col(c) for c in ("keys", f"{kind}_keys", "cells", f"{kind}_cells")])
         for kind in ("edited", "next")
     }
-    return rows.select(
+    found = rows.select(
         "doc_id",
+        "hash",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         cells_text(F.col("cells")).alias("fingerprint"),
@@ -341,3 +350,14 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
         near["edited"].alias("near_edited"),
         near["next"].alias("near_next"),
     )
+    if repeated:  # every one of equal rows gets what was worked out once
+        each = named.select(F.col("doc_id").alias("own_id"), F.col("hash").alias("own_hash"))
+        found = write_and_read(found, "fingerprints")
+        same = found["doc_id"].eqNullSafe(each["own_id"]) & (found["hash"] == each["own_hash"])
+        found = each.join(found, same).drop("own_id", "own_hash")
+    return found.drop("hash")
+
+
+def query(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents, compared with their edited texts and with the next document."""
+    return compared(documents(spark, folder))
