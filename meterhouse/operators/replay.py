@@ -276,7 +276,17 @@ def replay_gate(
     rolls back would. ``honour_active`` denies inactive users the use of their budget.
     """
     state = user_limits(users, plans, usage, honour_active)
-    rows = compact(requests)
+    return outcomes_of(replay_lines(compact(requests), state, mode, long_rows, piece_rows))
+
+
+def replay_lines(
+    rows: DataFrame,
+    state: DataFrame,
+    mode: str = "procedure",
+    long_rows: int = LONG_ROWS,
+    piece_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Compact requests of the users in ``state`` (see ``user_limits``), each with the state it left."""
     sizes = rows.groupBy("user_id").agg(F.count("*").alias("_n"))
     is_long = F.col("_n") > long_rows
     total = sizes.agg(
@@ -294,6 +304,11 @@ def replay_gate(
         if rest:
             short = rows.join(long, "user_id", "left_anti")
             lines = lines.unionByName(_scan_users(short, state, mode, _tasks(rows, rest)))
+    return lines
+
+
+def outcomes_of(lines: DataFrame) -> DataFrame:
+    """The outcome rows of replayed lines."""
     return lines.select(
         "request_seq",
         "user_id",

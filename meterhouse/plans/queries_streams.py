@@ -27,7 +27,7 @@ from meterhouse.session import work_folder
 from meterhouse.sources import changefeed, files, jdbc, tables
 from meterhouse.streaming import events as streams
 from meterhouse.streaming.history import ChangeHistory
-from meterhouse.streaming.metering import meter_stream
+from meterhouse.streaming.metering import MeterStore, meter_stream
 
 MIDDLE = "2024-01-16"
 
@@ -474,3 +474,21 @@ def _(t: Tables) -> DataFrame:
         t, t.gate_requests(), "ts", "meter", lambda rows: meter_stream(rows, limits)
     )
     return t.spark.read.parquet(out)
+
+
+@query("str7_meter_store", gate_sql(OUTCOME_SQL))
+def _(t: Tables) -> DataFrame:
+    """The same, for batches of any size: counters in a table, every user's requests in pieces."""
+    root = work_folder(t.spark, "meter-store")
+    df = t.gate_requests()
+    pieces = {"long_rows": 0, "piece_rows": max(1, df.count() // 3)}
+    store = MeterStore(f"{root}/store", replay.user_limits(t.users(), t.plans()), **pieces)
+
+    def stage(part: DataFrame, n: int) -> None:
+        part.write.parquet(f"{root}/bronze/part={n}")
+
+    def run() -> None:
+        store.run(tables.stream_table(t.spark, f"{root}/bronze/*", df.schema), f"{root}/ckpt")
+
+    in_increments(stage, halves(df, "ts"), run)
+    return store.outcomes(t.spark)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterhouse.operators import gate, replay
+from meterhouse.streaming.metering import MeterStore
 
 PLANS = "plan_id int, plan_name string, hourly_token_limit int, daily_token_limit int, monthly_token_limit int, is_active boolean"
 USERS = "user_id int, user_name string, plan_id int, token_budget int, remaining_budget int, is_active boolean"
@@ -196,6 +197,32 @@ def test_replay_equals_plain_loop(traffic, plans, rows_of, mode, sizes):
     assert rows_of(result, *COLUMNS) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("mode, sizes", [("procedure", {}), ("api", {"long_rows": 60, "piece_rows": 150})])
+def test_batches_of_any_size_equal_one_replay(spark, traffic, plans, rows_of, tmp_path, mode, sizes):
+    rows, _, requests, users = traffic
+    limits = replay.user_limits(users, plans)
+    store = MeterStore(str(tmp_path), limits, mode, buckets=4, **sizes)
+    cuts = [0, 900, 900, 910, 1500, 1800]  # one batch is empty, one touches few buckets
+    for n, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        part = requests.where(F.col("request_seq").between(lo, hi - 1))
+        for _ in range(2 if n == 2 else 1):  # a batch that is replayed
+            store.apply(part, n)
+    whole = replay.replay_gate(requests, users, plans, mode=mode)
+    assert rows_of(store.outcomes(spark), *COLUMNS) == rows_of(whole, *COLUMNS)
+    names = ["user_id", "hourly_token", "daily_token", "monthly_token", "remaining_budget"]
+    assert rows_of(store.counters(spark), *names) == rows_of(replay.final_state(whole), *names)
+    with pytest.raises(RuntimeError):
+        store.apply(requests, 7)
+
+
+def test_meter_store_before_any_batch(spark, traffic, plans, tmp_path):
+    _, users, requests, users_df = traffic
+    store = MeterStore(str(tmp_path), replay.user_limits(users_df, plans))
+    assert store.outcomes(spark).count() == store.counters(spark).count() == 0
+    store.apply(requests.withColumn("user_id", F.lit(99)), 0)  # a user nobody knows
+    assert store.outcomes(spark).count() == store.counters(spark).count() == 0
+
+
 def test_replay_starts_from_given_counters(spark, plans):
     users = spark.createDataFrame([(1, "u", 1, 1000, 500, True)], USERS)
     usage = spark.createDataFrame([usage_row(1, 90, 150, 250)], USAGE)
