@@ -137,7 +137,8 @@ class MeterStore:
         )
         others = before.join(newest.select("user_id"), "user_id", "left_anti")
         after = newest.unionByName(others.select(*newest.columns)).withColumn(BUCKET, self._bucket())
-        after.write.mode("overwrite").partitionBy(BUCKET).parquet(
+        # one file for each bucket
+        after.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
             f"{self.root}/counters/{VERSION}={batch_id}"
         )
 
