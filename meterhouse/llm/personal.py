@@ -7,7 +7,9 @@ base kinds ``email``, ``ip``, ``card`` and ``phone``; schemes and cue words for
 * ``tel``: the number after a ``tel:`` scheme, 7 to 15 digits;
 * ``iban``: an account number after that cue, to the last group at which its check digits hold;
 * ``account``: 6 to 20 digits after an account cue and a separator or a word for number;
-* ``ssn``: a social security number after its cue, of an area, group and serial that are issued.
+* ``ssn``: a social security number after its cue, of an area, group and serial that are issued;
+* ``ipv6`` and ``mac``: a network address after that cue, of groups that add up;
+* ``street``: a house number, one to three capitalised words and a word for street.
 
 Each parser reads the characters around its anchor only, and never twice what an earlier anchor of its
 kind has read, so the work is in proportion to the text. Base spans are exactly the leftmost
@@ -18,6 +20,7 @@ with a null id, repeated rows and further columns pass through unchanged.
 
 from __future__ import annotations
 
+import ipaddress
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -31,7 +34,7 @@ from pyspark.sql import types as T
 from meterhouse.llm.tables import documents
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "login", "tel", "iban", "account", "ssn")
+KINDS = (*BASE, "login", "tel", "iban", "account", "ssn", "ipv6", "mac", "street")
 SPAN = (
     T.StructType()
     .add("kind", T.StringType())
@@ -58,10 +61,19 @@ ACCOUNT = re.compile(
     rf"(?:{NUMBER_WORD}{GAP}[:=#]?|{GAP}[:=#]){GAP}([0-9](?:[ -]?[0-9]){{5,19}})(?![0-9A-Za-z])"
 )
 SSN = re.compile(rf"{NUMBER_WORD}?{GAP}[:=#]?{GAP}([0-9]{{3}})[ -]([0-9]{{2}})[ -]([0-9]{{4}})(?![0-9])")
+NETWORK_WORD = r"(?:[ \t]?(?:[Aa]ddress|[Aa]ddr\.?))"
+IPV6 = re.compile(rf"{NETWORK_WORD}?{GAP}[:=]?{GAP}([0-9A-Fa-f:]{{2,39}})(?![0-9A-Za-z:.])")
+MAC = re.compile(
+    rf"{NETWORK_WORD}?{GAP}[:=]?{GAP}([0-9A-Fa-f]{{2}}([:-])(?:[0-9A-Fa-f]{{2}}\2){{4}}[0-9A-Fa-f]{{2}})(?![0-9A-Za-z:-])"
+)
+HOUSE = re.compile(r"(?<![0-9A-Za-z.,-])[0-9]{1,5}[A-Za-z]?(?: [A-Z][A-Za-z'.-]{0,24}){1,3}\Z")
+HOUSE_LENGTH = 84  # characters that a match of it can have
 CUES = {
     "iban": ["IBAN", "Iban", "iban"],
     "account": ["ACCOUNT", "Account", "account", "ACCT", "Acct", "acct", "KONTO", "Konto", "konto"],
     "ssn": ["SSN", "ssn", "Social Security", "social security", "Social security"],
+    "ipv6": ["IPv6", "ipv6", "IPV6"],
+    "mac": ["MAC", "mac", "Mac"],
 }
 
 
@@ -70,6 +82,7 @@ def automaton() -> ahocorasick.Automaton:
     """Anchors, each with what it announces and its length."""
     words = ahocorasick.Automaton()
     anchors = {"@": ["@"], "+": ["+"], "digit": list("0123456789"), "://": ["://"], "tel:": ["tel:", "TEL:"]}
+    anchors["street"] = STREETS
     for what, spellings in (anchors | CUES).items():
         for word in spellings:
             words.add_word(word, (what, len(word)))
@@ -144,6 +157,30 @@ def ssn_after(text: str, at: int) -> tuple[int, int] | None:
     return m.start(1), m.end(3)
 
 
+def ipv6_after(text: str, at: int) -> tuple[int, int] | None:
+    m = IPV6.match(text, at)
+    if not m:
+        return None
+    try:
+        ipaddress.IPv6Address(m[1])
+    except ValueError:
+        return None
+    return m.span(1)
+
+
+def mac_after(text: str, at: int) -> tuple[int, int] | None:
+    m = MAC.match(text, at)
+    return m.span(1) if m else None
+
+
+def street_to(text: str, at: int, end: int) -> tuple[int, int] | None:
+    """The address whose word for street, with the space before it, begins at ``at`` and ends at ``end``."""
+    m = HOUSE.search(text[max(0, at - HOUSE_LENGTH - 1) : at])
+    if not m or text[end : end + 1].isalnum():
+        return None
+    return at - len(m[0]), end
+
+
 def tel_after(text: str, at: int) -> tuple[int, int] | None:
     m = TEL.match(text, at)
     return m.span() if m and 7 <= len(digits_in(m[0])) <= 15 else None
@@ -154,7 +191,11 @@ def account_after(text: str, at: int) -> tuple[int, int] | None:
     return m.span(1) if m else None
 
 
-AFTER = {"iban": iban_after, "ssn": ssn_after, "tel:": tel_after, "account": account_after}
+AFTER = {
+    "iban": iban_after, "ssn": ssn_after, "tel:": tel_after, "account": account_after, "ipv6": ipv6_after,
+    "mac": mac_after,
+}
+STREETS = [" Street", " St.", " Avenue", " Ave.", " Road", " Rd.", " Lane", " Boulevard", " Blvd.", " Drive"]
 NAMES = {"tel:": "tel"}
 
 
@@ -190,6 +231,10 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
             span = login_at(text, at)
             if span:
                 found.append((span[0], KINDS.index("login"), span[1]))
+        elif what == "street":
+            span = street_to(text, at, last + 1)
+            if span:
+                found.append((span[0], KINDS.index("street"), span[1]))
         elif at == 0 or not text[at - 1].isalnum():  # a cue is a word of its own
             span = AFTER[what](text, last + 1)
             if span:

@@ -63,6 +63,11 @@ def test_written_out_cases():
     ("account number 1234 567 890, please", "account", "1234 567 890"),
     ("Acct: 00123456", "account", "00123456"),
     ("SSN 078-05-1120", "ssn", "078-05-1120"),
+    ("IPv6 address: 2001:db8::ff00:42:8329, up", "ipv6", "2001:db8::ff00:42:8329"),
+    ("MAC 00:1b:44:11:3a:b7", "mac", "00:1b:44:11:3a:b7"),
+    ("mac=00-1B-44-11-3A-B7;", "mac", "00-1B-44-11-3A-B7"),
+    ("lives at 221B Baker Street, London", "street", "221B Baker Street"),
+    ("12 Martin Luther King Blvd.", "street", "12 Martin Luther King Blvd."),
 ])
 def test_further_kinds(text, kind, inner):
     at = text.index(inner)
@@ -72,6 +77,8 @@ def test_further_kinds(text, kind, inner):
 @pytest.mark.parametrize("text", [
     "https://host.example/a@b", "https://@host", "tel:12", "IBAN DE89 3704 0044 0532 0130 01", "Caliban DE89",
     "account 2019", "an account of 123456 people", "account: 12345", "SSN 000-12-1234", "ssn 900-12-1234", "SSN 123-00-1234",
+    "IPv6 ::1::2", "IPv6: 12345::", "ipv6 is new", "MAC 00:1b:44:11:3a", "MAC 00:1b-44:11:3a:b7", "a machine",
+    "Baker Street", "in 1999 the Long Road", "12 Baker Streets", "1.5 Baker Street",
 ])
 def test_what_fails_validation_is_not_reported(text):
     assert personal.find_spans(text) == []
