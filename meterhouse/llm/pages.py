@@ -83,6 +83,12 @@ APART = set(
 READERS = set(
     "comment comments commentary disqus reply replies respond discussion responses feedback".split()
 )
+# Beginnings and ends of compound words of the same kinds.
+READER_STEMS = ("comment", "disqus")
+APART_STEMS = (
+    *READER_STEMS, "advert", "sponsor", "sidebar", "cookie", "newsletter", "breadcrumb", "footer", "related", "popup"
+)
+APART_ENDS = ("nav", "navbar", "menu", "sidebar", "footer", "banner", "comments")
 HEADERS = {"header", "head", "masthead"}
 CONTENT = set("article content entry story post main text body prose".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
@@ -122,6 +128,14 @@ class Line:
         return self.links > LINKS * len(self.text)
 
 
+def is_apart(words: set[str]) -> bool:
+    return any(w in APART or w.startswith(APART_STEMS) or w.endswith(APART_ENDS) for w in words)
+
+
+def is_readers(words: set[str]) -> bool:
+    return any(w in READERS or w.startswith(READER_STEMS) or w.endswith("comments") for w in words)
+
+
 def element_of(
     name: str, attributes: str, parent: Element | None, wrappers: list[Wrapper], frames: set[int]
 ) -> Element:
@@ -143,11 +157,11 @@ def element_of(
         for n in around:
             wrappers[n].heading = True
     if within:
-        doubted = name in DOUBTED - {"header"} or bool(words & APART)
+        doubted = name in DOUBTED - {"header"} or is_apart(words)
     else:
-        doubted = name in DOUBTED or bool(words & (APART | HEADERS))
+        doubted = name in DOUBTED or is_apart(words) or bool(words & HEADERS)
     if doubted and not root and name != "main":
-        readers = bool(words & READERS)
+        readers = is_readers(words)
         around = (*around, len(wrappers))
         wrappers.append(Wrapper(readers, name in MARKED and not readers))
     return Element(

@@ -180,6 +180,16 @@ def test_comments_longer_than_the_article():
         assert pages.main_text(f"<article>{STORY}</article>{wrapper}{reader}") == STORY_TEXT
 
 
+@pytest.mark.parametrize("name", [
+    "commentlist", "commentThread", "relatedposts", "topnav", "sidebar2", "leftsidebar", "cookiebar", "siteFooter",
+    "advertbox", "newsletterbox", "usercomments", "widget_area", "post-comments", "mainMenu", "ad-slot",
+])
+def test_compound_class_words(name):
+    other = f'<div class="{name}"><p>{PARAGRAPHS[0]} Not of the story.</p></div>'
+    assert pages.main_text(f"<body>{other}<div>{STORY}</div>{other}</body>") == STORY_TEXT
+    assert pages.main_text(f'<body><div class="{name}"><main>{STORY}</main></div></body>') == STORY_TEXT
+
+
 @pytest.mark.parametrize("page", [
     "<form>Name <input><p>Password <input></form>",
     '<div class="cookie-notice">We use cookies to make your stay with us as pleasant as can be.</div>',
