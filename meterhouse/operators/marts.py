@@ -38,16 +38,21 @@ def latency_percentiles(column: str) -> list[Column]:
     return [sketch[i].alias(f"p{p}_ms") for i, p in enumerate((50, 95, 99))]
 
 
-def api_slo_hourly(events: DataFrame) -> DataFrame:
-    """Requests, latency percentiles and error rate per hour, endpoint and method."""
+def slo_measures() -> list[Column]:
+    """Requests, latency percentiles and the share of errors in percent."""
     errors = F.sum(F.col("is_error").cast("int"))
-    return events.groupBy(
-        F.date_trunc("hour", "event_ts").alias("usage_hour"), "endpoint", "http_method"
-    ).agg(
+    return [
         F.count("*").alias("request_count"),
         *latency_percentiles("execution_time_ms"),
         F.round(F.lit(100.0) * errors / F.count("*"), 2).alias("error_rate_pct"),
-    )
+    ]
+
+
+def api_slo_hourly(events: DataFrame) -> DataFrame:
+    """Requests, latency percentiles and error rate per hour, endpoint and method."""
+    return events.groupBy(
+        F.date_trunc("hour", "event_ts").alias("usage_hour"), "endpoint", "http_method"
+    ).agg(*slo_measures())
 
 
 def plan_utilisation(events: DataFrame, plan_history: DataFrame) -> DataFrame:

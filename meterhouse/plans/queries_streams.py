@@ -173,6 +173,58 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).drop("_ingested_at", "_source_file")
 
 
+@query(
+    "src8_stream_table",
+    using(
+        ["query_log"],
+        f"""select q_id, user_id, tokens_used, time_stamp,
+              cast(time_stamp >= timestamp '{MIDDLE}' as int) as run from query_log""",
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """A stream over the table that another stream fills: each run meets the rows of new files only."""
+    root = work_folder(t.spark, "stream-table")
+    columns = t.query_log().select("q_id", "user_id", "tokens_used", "time_stamp")
+
+    def stage(part: DataFrame, n: int) -> None:
+        part.write.parquet(f"{root}/landing/part={n}")
+        landed = tables.stream_table(t.spark, f"{root}/landing/*", columns.schema)
+        streams.append_stream(landed, f"{root}/bronze", f"{root}/_ckpt/bronze")
+        bronze = tables.stream_table(t.spark, f"{root}/bronze", columns.schema)
+        read = bronze.withColumn("run", F.lit(n))
+        streams.append_stream(read, f"{root}/silver", f"{root}/_ckpt/silver")
+
+    in_increments(stage, halves(columns, "time_stamp"), lambda: None)
+    return tables.read_table(t.spark, f"{root}/silver")
+
+
+@query(
+    "snk2_append_stream",
+    using(
+        ["request_log"],
+        f"""select log_id, endpoint,
+              case when "timestamp" >= timestamp '{MIDDLE}' then execution_time_ms end
+                as execution_time_ms,
+              case when "timestamp" >= timestamp '{MIDDLE}' then 1 else 0 end as run,
+              (select count(*) from request_log) as rows_written
+            from request_log""",
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """Appended in two runs, the second with one more column, then a run that finds nothing to do."""
+    root = work_folder(t.spark, "append")
+    written = 0
+    names = ["log_id", "endpoint", "execution_time_ms"]
+    first, second = halves(t.request_log(), "timestamp")
+    for n, part in enumerate([first.select(names[:2]), second.select(names), second.select(names).where("false")]):
+        part.write.parquet(f"{root}/in/part={n}")
+        rows = tables.stream_table(t.spark, f"{root}/in/*", part.schema).withColumn("run", F.lit(n))
+        done = streams.append_stream(rows, f"{root}/out", f"{root}/_ckpt")
+        written += streams.observed_counts(done).get("rows", 0)
+    out = tables.read_table(t.spark, f"{root}/out")
+    return out.withColumn("rows_written", F.lit(written).cast("bigint"))
+
+
 @query(
     "snk3_observed_counts",
     using(
@@ -337,6 +389,28 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out)
 
 
+@query(
+    "agg2_api_slo_stream",
+    using(
+        ["request_log"],
+        """select date_trunc('hour', "timestamp") as usage_hour, endpoint, http_method,
+             count(*) as request_count,
+             quantile_disc(execution_time_ms, 0.50) as p50_ms,
+             quantile_disc(execution_time_ms, 0.95) as p95_ms,
+             quantile_disc(execution_time_ms, 0.99) as p99_ms,
+             round(100.0::double * count(case when response_status_code >= 400 then 1 end)
+                   / count(*), 2) as error_rate_pct
+           from request_log where request_id is not null group by 1, 2, 3
+           having date_trunc('hour', min("timestamp")) + interval 1 hour
+             <= (select date_trunc('milliseconds', max("timestamp")) - interval 1 hour from request_log)""",
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """Hourly service levels over the raw requests, as far as the watermark has closed the hours."""
+    out = bronze_in_two(t, t.request_log(), "timestamp", "slo", streams.api_slo_stream)
+    return t.spark.read.parquet(out)
+
+
 @query(
     "str4_late_rows",
     """select count(*) as kept_rows,

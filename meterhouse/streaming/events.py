@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from meterhouse.operators.marts import slo_measures
 from meterhouse.operators.quality import QUERY_EVENT_RULES, REQUEST_EVENT_RULES, apply_rules
 from meterhouse.operators.shape import silver_query_events, silver_request_events
 from meterhouse.sources.tables import path_exists
@@ -54,6 +55,21 @@ def hourly_usage_stream(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
     )
 
 
+def api_slo_stream(bronze: DataFrame) -> DataFrame:
+    """Hourly service levels as a stream: deduplicated and checked requests, then windows of an hour.
+
+    Both operators share the watermark of the deduplication. A window keeps one sketch of latencies
+    for each endpoint and method, never the requests.
+    """
+    return (
+        silver_request_stream(bronze)
+        .groupBy(F.window("event_ts", "1 hour"), "endpoint", "http_method")
+        .agg(*slo_measures())
+        .withColumn("usage_hour", F.col("window.start"))
+        .drop("window")
+    )
+
+
 class CheckpointMismatch(Exception):
     """A table without its checkpoint, or a checkpoint without its table."""
 

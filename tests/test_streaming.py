@@ -62,6 +62,55 @@ def test_a_second_run_reads_nothing(spark, tmp_path):
     assert spark.read.parquet(f"{root}/out").count() == 10
 
 
+def test_service_levels_of_closed_hours_equal_the_batch(spark, tmp_path):
+    root = str(tmp_path)
+    schema = (
+        "log_id int, request_id string, user_id int, endpoint string, http_method string, "
+        "response_status_code string, execution_time_ms string, timestamp string"
+    )
+
+    def row(request, minute, status="200", ms="10"):
+        return (minute, request, 1, "/q", "POST", status, ms, str(at(minute)))
+
+    kept = [
+        [row("a", 0), row("b", 5, "500", "30"), row("c", 7, ms=None), row("d", 90)],
+        [row("e", 50, ms="20")],
+        [row("f", 400)],
+    ]
+    batches = [
+        kept[0],
+        [*kept[1], row("d", 91), row(None, 59)],  # in time; a repeat, and one that breaks a rule
+        kept[2],
+        [row("g", 10, "500")],  # its hour is closed
+        [row("h", 600)],  # its hour is open
+    ]
+    late = 0
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/in/part={n}")
+        stream = T.stream_table(spark, f"{root}/in/*", schema)
+        query = streams.append_stream(streams.api_slo_stream(stream), f"{root}/out", f"{root}/ckpt")
+        late += streams.late_rows(query)
+    events = shape.silver_request_events(spark.createDataFrame(sum(kept, []), schema))
+    batch = marts.api_slo_hourly(events)
+    out = spark.read.parquet(f"{root}/out").select(batch.columns)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
+    assert out.count() == 3 and late == 1
+
+
+def test_a_stream_reads_what_another_stream_wrote(spark, tmp_path):
+    root = str(tmp_path)
+    for n, columns in enumerate((["id"], ["id", "more"])):
+        rows = spark.range(n * 10, n * 10 + 10).withColumn("more", F.col("id") * 2)
+        rows.select(columns).write.parquet(f"{root}/in/part={n}")
+        first = T.stream_table(spark, f"{root}/in/*", rows.select(columns).schema)
+        streams.append_stream(first, f"{root}/mid", f"{root}/ckpt/mid")
+        second = T.stream_table(spark, f"{root}/mid", rows.schema)  # wider than the old files
+        query = streams.append_stream(second, f"{root}/out", f"{root}/ckpt/out")
+        assert streams.observed_counts(query) == {"rows": 10}
+    out = T.read_table(spark, f"{root}/out").collect()
+    assert {r.id: r.more for r in out} == {i: i * 2 if i >= 10 else None for i in range(20)}
+
+
 def test_stream_reports_quality(spark, tables, tmp_path):
     root = str(tmp_path)
     log = tables.request_log()
