@@ -40,7 +40,7 @@ LOW, HIGH = 50, 95  # percent of the positive's score
 REFERENCES = 16
 SAMPLE = 2_000  # rows that the references are chosen from
 BLOCK_BYTES = 32 << 20  # of anchors sent out at once
-TILE_ROWS, TILE_ANCHORS = 2_048, 256
+TILE_ROWS, TILE_ANCHORS = 2_048, 32  # bounds of a tile stay in a cache
 EXACT = 2.0**53
 SLACK = 1e-7  # of the norms' product: more than rounded angles and norms can move a bound
 
@@ -143,7 +143,7 @@ class Block:
         angles = matrix_of(flat("angles"), int(lengths[0]) if len(lengths) else 0)
         self.cos, self.sin = np.cos(angles), np.sin(angles)
 
-    def part(self, at: slice) -> "Block":
+    def part(self, at: slice | np.ndarray) -> "Block":
         out = object.__new__(Block)
         for name, value in vars(self).items():
             setattr(out, name, value[at])
@@ -238,17 +238,19 @@ def positives_in(block: Broadcast, width: int, count: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors: Block = block.value[0]
         best = Best(len(anchors.ids), 1, count)
-        for rows in tiles(batches, width):
-            for at in range(0, len(anchors.ids), TILE_ANCHORS):
-                some = anchors.part(slice(at, at + TILE_ANCHORS))
-                high = score_bounds(some, rows)[1]
-                wanted = some.labels[:, None] == rows.labels
-                wanted &= some.ids[:, None] != rows.ids
-                wanted &= high >= best.least[at : at + TILE_ANCHORS]
-                for n in np.flatnonzero(wanted.any(axis=1)):
-                    hit = np.flatnonzero(wanted[n])
-                    score = scores(some.vectors[n], some.norms[n], rows.vectors[hit], rows.norms[hit])
-                    best.add(at + n, 0, score, rows.ids[hit])
+        of = {label: np.flatnonzero(anchors.labels == label) for label in np.unique(anchors.labels)}
+        for tile in tiles(batches, width):
+            for label in np.intersect1d(tile.labels, anchors.labels):  # other labels get no bounds
+                rows = tile.part(tile.labels == label)
+                for at in range(0, len(of[label]), TILE_ANCHORS):
+                    places = of[label][at : at + TILE_ANCHORS]
+                    some = anchors.part(places)
+                    wanted = score_bounds(some, rows)[1] >= best.least[places]
+                    wanted &= some.ids[:, None] != rows.ids
+                    for n in np.flatnonzero(wanted.any(axis=1)):
+                        hit = np.flatnonzero(wanted[n])
+                        score = scores(some.vectors[n], some.norms[n], rows.vectors[hit], rows.norms[hit])
+                        best.add(places[n], 0, score, rows.ids[hit])
         yield best.batch(anchors.ids)
 
     return find
@@ -275,7 +277,8 @@ def negatives_in(block: Broadcast, width: int, count: int):
                     hit = np.flatnonzero(open_[n])
                     score = scores(some.vectors[n], some.norms[n], rows.vectors[hit], rows.norms[hit])
                     for slot, (bottom, top) in enumerate(exact[at + n]):
-                        inside = np.flatnonzero((score >= bottom) & (score <= top))
+                        enters = (score >= bottom) & (score <= top) & (score >= best.least[at + n, slot])
+                        inside = np.flatnonzero(enters)
                         if len(inside):
                             best.add(at + n, slot, score[inside], rows.ids[hit[inside]])
         yield best.batch(anchors.ids)
